@@ -88,7 +88,8 @@ class WordHashes(dict):
 
 
 #: An odd multiplier for rolling hashes over 64-bit word hashes (golden ratio).
-ROLL = np.uint64(0x9E3779B97F4A7C15)
+ROLL = 0x9E3779B97F4A7C15
+_ALL = (1 << 64) - 1
 
 
 def rolled(hashes: np.ndarray, n: int) -> np.ndarray:
@@ -97,11 +98,11 @@ def rolled(hashes: np.ndarray, n: int) -> np.ndarray:
         return np.empty(0, np.uint64)
     out, width, power = hashes, 1, ROLL
     for bit in bin(n)[3:]:
-        out = out[:-width] * power + out[width:]
-        power, width = power * power, 2 * width
+        out = out[:-width] * np.uint64(power) + out[width:]
+        power, width = power * power & _ALL, 2 * width
         if bit == "1":
-            out = out[:-1] * ROLL + hashes[width : width + len(out) - 1]
-            power, width = power * ROLL, width + 1
+            out = out[:-1] * np.uint64(ROLL) + hashes[width : width + len(out) - 1]
+            power, width = power * ROLL & _ALL, width + 1
     return mixed(out)
 
 
