@@ -6,7 +6,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesloom.llm import bpe, line_dedup, mixing, quality, simhash_dedup
+from seriesloom.llm import (
+    bpe,
+    chat,
+    embedding_dedup,
+    line_dedup,
+    mixing,
+    quality,
+    simhash_dedup,
+    substring_dedup,
+    token_output,
+    warc,
+)
+from seriesloom.llm.common import new_path
+from seriesloom.llm.oracles import ORACLES
+
+__all__ = ["ORACLES", "QUERIES"]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +32,10 @@ def _sha256(column: str):
     return F.sha2(F.col(column).cast("binary"), 256)
 
 
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_dedup.groups(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -39,6 +58,55 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.deduplicate(docs).select("doc_id", "n_lines", "n_removed", _sha256("text").alias("kept_sha256"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "warc")
+    warc.write(_table(spark, sf_dir, "pages"), path)
+    records = warc.read(spark, path)
+    response = F.col("record_type") == "response"
+    return records.select(
+        F.col("record_id").alias("page_id"),
+        F.when(response, F.octet_length("payload")).otherwise(F.col("payload_length")).cast("long").alias("payload_bytes"),
+        F.when(response, F.sha1("payload")).otherwise(F.col("payload_digest")).alias("payload_digest"),
+        "record_type",
+        "refers_to",
+    )
+
+
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    added = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(said).alias("text"),
+    )
+    formatted = chat.format_log(chat.events_of_turns(turns.union(added)))
+    read = chat.parse(formatted)
+    sizes = formatted.select(F.col("conv_id").alias("c"), F.length("formatted").cast("long").alias("formatted_chars"))
+    turn = F.concat("role", F.lit("\n"), "text", F.lit("\n"))
+    lists = read.groupBy("conv_id").agg(
+        F.count("*").alias("n_turns"), F.sort_array(F.collect_list(F.struct("turn", turn.alias("all"), "loss"))).alias("t")
+    )
+    whole = F.array_join(F.transform("t", lambda x: x["all"]), "")
+    loss = F.array_join(F.transform("t", lambda x: F.coalesce(x["loss"], F.lit(""))), "")
+    lists = lists.select("conv_id", "n_turns", whole.alias("whole"), loss.alias("loss"))
+    both = lists.join(sizes, F.col("conv_id").eqNullSafe(F.col("c")))
+    return both.select(
+        "conv_id",
+        "n_turns",
+        _sha256("whole").alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        _sha256("loss").alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.deduplicate(docs).select("doc_id", "n_words", "n_removed", _sha256("kept").alias("kept_sha256"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -49,6 +117,13 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.with_signals(docs).select("doc_id", *quality.LONGS, "base_failed", "kept")
 
 
+def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "tokens")
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    token_output.write(docs, public_tokenizers.path("word_bpe_49k.json"), path)
+    return token_output.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -56,12 +131,15 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_embedding_dedup": op1_embedding_dedup,
     "op2_simhash_dedup": op2_simhash_dedup,
     "op3_bpe": op3_bpe,
     "op4_line_dedup": op4_line_dedup,
+    "op5_warc": op5_warc,
+    "op6_chat_format": op6_chat_format,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_mixing": op8_mixing,
     "op9_quality_rules": op9_quality_rules,
+    "op10_token_output": op10_token_output,
     "pipeline": pipeline,
 }
-
-ORACLES: dict[str, str] = {}
