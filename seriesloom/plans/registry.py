@@ -1,8 +1,15 @@
-"""Queries over the given tables and their SQL."""
+"""The registry: queries by name, their SQL, and the flagship query."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
 
-def entry(spark, sf_dir):
-    raise NotImplementedError
+from seriesloom.plans.oracles import ORACLES
+from seriesloom.plans.queries import QUERIES
+
+__all__ = ["ORACLES", "QUERIES", "entry"]
+
+
+def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines to forecasts, end to end."""
+    return QUERIES["forecast_direct_linear"](spark, sf_dir)
