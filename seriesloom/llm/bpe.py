@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesloom.llm.common import CACHE_ENTRIES, others, slices
+from seriesloom.llm.common import Remembered, others, slices
 
 #: The published splitting pattern of this family of vocabularies.
 PATTERN = (
@@ -32,8 +32,8 @@ PATTERN = (
     r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 )
 NEVER = 1 << 60
-#: Pieces that a worker remembers before it starts afresh: some 150 MB.
-PIECES = 600_000
+#: Pieces of a generation, and compatible pairs, that a worker remembers: some 40 MB each.
+PIECES = 250_000
 LATE_SPACE = re.compile(r"\s ")
 
 
@@ -73,12 +73,18 @@ class Vocabulary:
                 raise ValueError("each token needs one merge, after those of its parts")
             self.merges[x, y] = rank
             self.birth[z], self.left[z], self.right[z] = rank, x, y
-        self._automaton({s: i for s, i in ids.items() if len(s) == 1 or self.birth[i] >= 0})
+        self.length = [len(s) for s in self.bytes]
+        self.go: dict[int, int] = {}
         self._fits: dict[int, bool] = {}
         self._whole: dict[int, bool] = {}
 
-    def _automaton(self, ids: dict[bytes, int]) -> None:
-        """Trie with failure links; ``longest[state]``: longest token that is a suffix of what the state has read."""
+    def prepare(self) -> None:
+        """Build what only encoding needs: a trie of the tokens with failure links.
+
+        ``longest[state]`` is the longest token that is a suffix of what the state has read.
+        """
+        added = set(self.added.values())
+        ids = {s: i for i, s in enumerate(self.bytes) if s and i not in added and (len(s) == 1 or self.birth[i] >= 0)}
         go: dict[int, int] = {}
         token = [-1]
         order: list[tuple[int, int, int]] = []
@@ -108,7 +114,6 @@ class Vocabulary:
             else:
                 longest[node] = longest[fail[node]]
         self.trie, self.go, self.fail, self.longest = go, dict(go), fail, longest
-        self.length = [len(s) for s in self.bytes]
 
     def _apart(self, x: int, y: int, until: int = NEVER) -> bool:
         """Whether no merge joins the last piece of ``x`` and the first piece of ``y`` before rank ``until``."""
@@ -128,7 +133,7 @@ class Vocabulary:
         key = x << 32 | y
         known = self._fits.get(key)
         if known is None:
-            if len(self._fits) >= 4 * CACHE_ENTRIES:
+            if len(self._fits) >= PIECES:
                 self._fits.clear()
             known = self._fits[key] = self._apart(x, y)
         return known
@@ -155,6 +160,8 @@ class Vocabulary:
 
     def encode_piece(self, data: bytes) -> list[int]:
         """Ids of one piece (which no merge crosses)."""
+        if not self.go:
+            self.prepare()
         go, longest, shorter, length, fits = self.go, self.longest, self.shorter, self.length, self._fits
         last = [0] * (len(data) + 1)
         state, end = 0, 0
@@ -186,28 +193,13 @@ class Vocabulary:
         return ids[::-1]
 
 
-class _Pieces(dict):
-    """Piece of text -> its packed ids; remembers short pieces up to a fixed number."""
-
-    def __init__(self, make) -> None:
-        self.make = make
-
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= PIECES:
-            self.clear()
-        value = self.make(piece)
-        if len(piece) <= 64:
-            self[piece] = value
-        return value
-
-
 class Encoder:
     """Texts to packed ids (little-endian unsigned 32-bit) and back."""
 
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.vocabulary = vocabulary
         self.find = regex.compile(PATTERN).findall
-        self.spaced = _Pieces(lambda s: self._split(" " + s))
+        self.spaced = Remembered(lambda s: self._split(" " + s), PIECES)
         self.split_added = re.compile("(" + "|".join(map(re.escape, sorted(vocabulary.added, key=len, reverse=True))) + ")")
 
     def _split(self, text: str) -> bytes:

@@ -6,7 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 #: Words are runs of anything but the six ASCII white-space characters. ``bytes.split()`` cuts at the same six.
 WORD = r"[^\x20\x09-\x0D]+"
 
-#: Entries after which a worker's word cache starts afresh, which bounds its memory.
+#: Entries of a generation of a worker's cache; two of them take some 80 MB.
 CACHE_ENTRIES = 300_000
 
 
@@ -72,17 +72,38 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = 4 << 20)
             start = stop
 
 
-class WordHashes(dict):
-    """Word (bytes) -> 64-bit hash, remembered per worker."""
+class Remembered(dict):
+    """Key -> ``make(key)``, remembered per worker in two generations of at most ``limit`` entries.
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE_ENTRIES:
-            self.clear()
-        value = xxhash.xxh3_64_intdigest(word)
-        if len(word) <= 64:
-            self[word] = value
+    When the young generation is full it becomes the old one; what is asked for again moves back. Frequent keys stay,
+    rare ones go, and memory is bounded. Keys longer than 64 are not kept.
+    """
+
+    def __init__(self, make: Callable, limit: int = CACHE_ENTRIES) -> None:
+        self.make, self.limit, self.old = make, limit, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+            if len(key) > 64:
+                return value
+        self.keep(key, value)
         return value
 
+    def keep(self, key, value) -> None:
+        if len(self) >= self.limit:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+
+
+class WordHashes(Remembered):
+    """Word (bytes) -> 64-bit hash."""
+
+    def __init__(self) -> None:
+        super().__init__(xxhash.xxh3_64_intdigest)
+
     def of(self, words: Sequence[bytes]) -> np.ndarray:
         return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
 
@@ -134,6 +155,28 @@ def covered(starts: np.ndarray, width: int, n: int) -> np.ndarray:
     return np.cumsum(edge[:-1]) > 0
 
 
+#: Byte -> its eight bits as eight byte lanes of one number, lowest bit in the lowest lane.
+_LANES = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view("<u8").reshape(-1)
+_LANE_MAX = 255
+
+
+def majorities(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """For each run of ``counts`` (all positive) consecutive 64-bit hashes: the bits set in over half of them.
+
+    Bits are counted in byte lanes, eight at a time, over at most 255 hashes; the parts of a run are added up after.
+    """
+    if not len(counts):
+        return np.empty(0, np.uint64)
+    parts = -(-counts // _LANE_MAX)
+    first = np.cumsum(parts) - parts
+    inside = np.arange(int(parts.sum())) - np.repeat(first, parts)
+    starts = np.repeat(np.cumsum(counts) - counts, parts) + _LANE_MAX * inside
+    lanes = _LANES[hashes.astype("<u8").view(np.uint8).reshape(-1, 8)]
+    sums = np.add.reduceat(lanes, starts, axis=0).view(np.uint8).astype(np.int32)
+    bits = np.add.reduceat(sums, first, axis=0)
+    return np.packbits(2 * bits > counts[:, None], axis=1, bitorder="little").view("<u8").reshape(-1)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of an undirected graph with columns ``a`` and ``b`` (long).
 
