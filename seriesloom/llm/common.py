@@ -146,6 +146,14 @@ def repeated(values: np.ndarray) -> np.ndarray:
     return out
 
 
+def repeats(values: np.ndarray) -> np.ndarray:
+    """Mask of the values that occur earlier already."""
+    order = np.argsort(values, kind="stable")
+    out = np.zeros(len(values), bool)
+    out[order[1:][values[order[1:]] == values[order[:-1]]]] = True
+    return out
+
+
 def covered(starts: np.ndarray, width: int, n: int) -> np.ndarray:
     """Mask of the ``n`` positions inside windows of ``width`` that begin where ``starts`` is true."""
     edge = np.zeros(n + 1, np.int32)

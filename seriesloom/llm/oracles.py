@@ -131,7 +131,9 @@ def _op9() -> str:
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text, {_WORDS} AS ws FROM documents),
 w AS (SELECT doc_id, ws, generate_subscripts(ws, 1) AS i, unnest(ws) AS word FROM d),
 g AS ({unions}),
-c AS (SELECT *, CASE WHEN gram IS NOT NULL AND count(*) OVER (PARTITION BY doc_id, k, gram) > 1 THEN 1 ELSE 0 END AS twice FROM g),
+c AS (
+  SELECT *, CASE WHEN gram IS NULL THEN 0 WHEN k = 3 AND count(*) OVER (PARTITION BY doc_id, k, gram) > 1 THEN 1
+    WHEN k > 3 AND row_number() OVER (PARTITION BY doc_id, k, gram ORDER BY i) > 1 THEN 1 ELSE 0 END AS twice FROM g),
 m AS (SELECT doc_id, k, word, CASE {covered} END AS inside FROM c),
 r AS (SELECT doc_id, k, sum(inside) AS words, sum(inside * length(word)) AS chars, sum(length(word)) AS word_chars FROM m GROUP BY doc_id, k),
 v AS (
@@ -145,7 +147,7 @@ z AS (
   SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(word_chars, 0) AS BIGINT) AS word_chars,
     CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
     CAST(coalesce(dup, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
-    coalesce(fine, true) AND coalesce(dup / n_lines <= {quality.MAX_LINE_SHARE} AND dup_bytes / bytes <= {quality.MAX_LINE_CHARS}, true) AS fine
+    coalesce(fine, true) AND coalesce((dup / n_lines <= {quality.MAX_LINE_SHARE} OR dup < {quality.MIN_DUP_LINES}) AND dup_bytes / bytes <= {quality.MAX_LINE_CHARS}, true) AS fine
   FROM d LEFT JOIN v ON v.doc_id = d.doc_id LEFT JOIN z ON z.doc_id = d.doc_id
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,

@@ -1,8 +1,9 @@
 """Quality rules by repetition coverage.
 
 A numpy pass over each text rolls hashes of several n-gram lengths and measures which share of the word
-characters lies inside n-grams that occur twice or more, and which share of the lines and of their characters
-repeats an earlier line. Thresholds are those published for the Gopher corpus.
+characters lies inside n-grams that repeat an earlier one, and which share of the lines and of their characters
+repeats an earlier line. Thresholds are those published for the Gopher corpus; the share of lines is judged from the
+second repeated line on, since one line of three or four says little.
 """
 
 from __future__ import annotations
@@ -14,12 +15,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesloom.llm.common import WordHashes, covered, others, repeated, rolled, slices
+from seriesloom.llm.common import WordHashes, covered, others, repeated, repeats, rolled, slices
 
-#: n-gram length -> largest share of word characters inside repeated n-grams of that length.
+#: n-gram length -> largest share of word characters inside n-grams of that length that repeat.
 MAX_COVERAGE = {5: 0.15, 6: 0.14, 7: 0.13, 8: 0.12, 9: 0.11, 10: 0.10}
 MAX_LINE_SHARE = 0.30
 MAX_LINE_CHARS = 0.20
+MIN_DUP_LINES = 2
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 SYMBOLS = b"#*$%&|<>"
@@ -48,26 +50,26 @@ def measure(data: bytes, hashes: WordHashes) -> tuple:
             dup_bytes += len(x)
         seen.add(x)
     ids = hashes.of(words)
-    repeats = int(covered(repeated(rolled(ids, 3)), 3, n).sum()) if n >= 3 else 0
-    base_failed = n < MIN_WORDS or 100 * repeats > MAX_REPEAT_PERCENT * n
+    in_repeats = int(covered(repeated(rolled(ids, 3)), 3, n).sum()) if n >= 3 else 0
+    base_failed = n < MIN_WORDS or 100 * in_repeats > MAX_REPEAT_PERCENT * n
     coverage = dict.fromkeys(MAX_COVERAGE, 0.0)
-    if repeats:
+    if in_repeats:
         widths = None
         for length in coverage:
-            twice = repeated(rolled(ids, length))
-            if not twice.any():
+            again = repeats(rolled(ids, length))
+            if not again.any():
                 break  # longer n-grams cannot repeat either
             if widths is None:
                 widths = np.fromiter(map(_code_points, words), np.int64, n)
-            coverage[length] = float(widths[covered(twice, length, n)].sum() / chars)
+            coverage[length] = float(widths[covered(again, length, n)].sum() / chars)
     share = dup_lines / len(lines) if lines else 0.0
     line_chars = dup_bytes / sum(map(len, lines)) if lines else 0.0
     good = (
-        share <= MAX_LINE_SHARE
+        (share <= MAX_LINE_SHARE or dup_lines < MIN_DUP_LINES)
         and line_chars <= MAX_LINE_CHARS
         and all(coverage[k] <= most for k, most in MAX_COVERAGE.items())
     )
-    return n, chars, symbols, dup_lines, repeats, share, line_chars, *coverage.values(), base_failed, good and not base_failed
+    return n, chars, symbols, dup_lines, in_repeats, share, line_chars, *coverage.values(), base_failed, good and not base_failed
 
 
 def with_signals(docs: DataFrame, text: str = "text") -> DataFrame:

@@ -152,8 +152,8 @@ def test_quality_measures():
     assert get("#x $ é|é <>")["n_symbols"] == 5 and get("#x $ é|é <>")["word_chars"] == 8
     ten = " ".join(f"r{i}" for i in range(10))
     loud = f"{clean} {ten} {ten}"
-    assert get(loud)["dup_10gram_chars"] == pytest.approx(sum(len(w) for w in ten.split()) * 2 / len(loud.replace(" ", "")))
-    assert not get(loud)["kept"] and not get(loud)["base_failed"]
+    assert get(loud)["dup_10gram_chars"] == pytest.approx(sum(len(w) for w in ten.split()) / len(loud.replace(" ", "")))
+    assert get(loud)["kept"] and not get(f"{loud} {ten}")["kept"] and not get(f"{loud} {ten}")["base_failed"]
     assert get("\n".join([clean] * 3))["dup_line_share"] == pytest.approx(2 / 3)
 
 
