@@ -14,10 +14,9 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from seriesloom.llm.common import CACHE_ENTRIES, slices, written
+from seriesloom.llm.common import Remembered, slices, written
 
 LIMIT = 20
 STEP = 128
@@ -27,48 +26,60 @@ BLOCK_TOKENS = 1 << 16
 # ---- tokens
 
 
-class WordEncoder(dict):
-    """Texts to packed ids (little-endian unsigned 32-bit) with a tokenizer that drops white space between words.
+class WordEncoder(Remembered):
+    """Texts to packed ids with a tokenizer that drops white space between words.
 
     For such a tokenizer the ids of a text are those of its white-space separated words, one after another. Unknown
     words of a text are encoded in one call; token offsets tell which word each id belongs to.
     """
 
-    def __init__(self, spec: str) -> None:
-        from tokenizers import Tokenizer
+    def __init__(self, spec: str, kind: str = "<u4") -> None:
+        super().__init__(None)
+        self.tokenizer, self.kind = _tokenizer(spec), kind
 
-        self.tokenizer = Tokenizer.from_str(spec)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-
-    def _learn(self, words: list[bytes]) -> None:
+    def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
         text = [w.decode("utf-8", "replace") for w in words]
         found = self.tokenizer.encode(" ".join(text), add_special_tokens=False)
-        starts = np.cumsum([0, *(len(t) + 1 for t in text)])
+        starts = np.cumsum([len(t) + 1 for t in text])
         at = np.array([o[0] for o in found.offsets], np.int64)
-        ids = np.array(found.ids, "<u4")
-        ends = np.searchsorted(at, starts[1:], "left")
-        begin = 0
-        for word, end in zip(words, ends.tolist(), strict=True):
-            self[word] = ids[begin:end].tobytes()
-            begin = end
+        ids = np.array(found.ids, self.kind).tobytes()
+        width = np.dtype(self.kind).itemsize
+        ends = (np.searchsorted(at, starts, "left") * width).tolist()
+        return {word: ids[a:b] for word, a, b in zip(words, [0, *ends], ends)}
 
     def encode(self, data: bytes) -> bytes:
         words = data.split()
-        if len(self) > CACHE_ENTRIES:
-            self.clear()
-        if new := list({w for w in words if w not in self}):
-            self._learn(new)
+        own = {}
+        if new := [w for w in set(words) if w not in self]:
+            old = self.old
+            own = {w: old[w] for w in new if w in old}
+            if unknown := [w for w in new if w not in own]:
+                own |= self._learn(unknown)
+            if len(self) + len(own) > self.limit:  # the young generation still serves this text
+                out = b"".join([own[w] if w in own else self[w] for w in words])
+                for word, ids in own.items():
+                    self.keep(word, ids)
+                return out
+            self.update(own)
         return b"".join(map(self.__getitem__, words))
 
 
-def tokens(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", end: int = 2) -> DataFrame:
-    """``doc, ids``: the packed ids of each whole text and the ``end`` id. Null texts are empty texts."""
+def _tokenizer(spec: str):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_str(spec)
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    return tokenizer
+
+
+def tokens(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", end: int = 2, kind: str = "<u4") -> DataFrame:
+    """``doc, ids``: the ids of each whole text and the ``end`` id, packed as ``kind``. Null texts are empty texts."""
     spec = docs.sparkSession.sparkContext.broadcast(Path(path).read_text())  # a vocabulary file: a few MB, whatever the data
-    last = np.array([end], "<u4").tobytes()
+    last = np.array([end], kind).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(spec.value)
+        encoder = WordEncoder(spec.value, kind)
         for batch in slices(batches, "t"):
             ids = [encoder.encode(x or b"") + last for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], ["doc", "ids"])
@@ -164,13 +175,15 @@ def write(docs: DataFrame, tokenizer: str, path: str, key: str = "doc_id", text:
     empty data set.
     """
     spark = docs.sparkSession
-    coded = written(tokens(docs, tokenizer, key, text, end), "tokens")
+    size = max(_tokenizer(Path(tokenizer).read_text()).get_vocab_size(with_added_tokens=True), end + 1)
+    kind = "<u2" if size <= 1 << 16 else "<u4"
+    width = np.dtype(kind).itemsize
+    coded = written(tokens(docs, tokenizer, key, text, end, kind), "tokens")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64)
+        total = np.zeros(size, np.int64)
         for batch in slices(batches, "ids"):
-            part = np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), "<u4"))
-            total, part = (total, part) if len(total) >= len(part) else (part, total)
+            part = np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), kind))
             total[: len(part)] += part
         ids = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(total[ids], pa.int64())], ["id", "n"])
@@ -187,72 +200,55 @@ def write(docs: DataFrame, tokenizer: str, path: str, key: str = "doc_id", text:
         code = Code(*shared.value)
         keys: list[int | None] = []
         held: list[bytes] = []
-        size = number = 0
+        size = before = 0
 
         def close() -> pa.RecordBatch:
-            counts = np.array([len(x) // 4 for x in held], np.int64)
-            stream, checkpoints = code.pack(np.frombuffer(b"".join(held), "<u4"))
-            arrays = [[number], [keys], [counts.tolist()], [stream], [checkpoints]]
-            kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary()]
-            names = ["block", "docs", "counts", "bits", "checkpoints"]
-            return pa.RecordBatch.from_arrays([pa.array(a, k) for a, k in zip(arrays, kinds, strict=True)], names)
+            counts = np.array([len(x) // width for x in held], np.int64)
+            stream, checkpoints = code.pack(np.frombuffer(b"".join(held), kind))
+            arrays = [[before], [size], [keys], [counts.tolist()], [stream], [checkpoints]]
+            kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary()]
+            return pa.RecordBatch.from_arrays([pa.array(a, k) for a, k in zip(arrays, kinds, strict=True)], _BLOCK)
 
         for batch in slices(batches, "ids"):
             for doc, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 keys.append(doc)
                 held.append(packed)
-                size += len(packed) // 4
+                size += len(packed) // width
                 if size >= BLOCK_TOKENS:
                     yield close()
-                    keys, held, size, number = [], [], 0, number + 1
+                    keys, held, size, before = [], [], 0, before + size
         if held:
             yield close()
 
     ordered = coded.repartitionByRange("doc").sortWithinPartitions("doc", "ids")
-    made = ordered.mapInArrow(blocks, "block long, docs array<long>, counts array<long>, bits binary, checkpoints binary")
+    made = ordered.mapInArrow(blocks, "before long, tokens long, docs array<long>, counts array<long>, bits binary, checkpoints binary")
     made.select(F.spark_partition_id().alias("part"), "*").write.parquet(f"{path}/blocks")
 
 
+_BLOCK = ["before", "tokens", "docs", "counts", "bits", "checkpoints"]
+
+
 def read(spark: SparkSession, path: str, key: str = "doc_id") -> DataFrame:
     """``key, start, n_tokens, ids`` of each document of a data set: ids before it, ids with the end id, and those ids
     (packed as little-endian unsigned 32-bit)."""
-    rows = spark.read.parquet(f"{path}/codebook").orderBy("id").toPandas()  # a vocabulary at most
-    shared = spark.sparkContext.broadcast((rows["id"].to_numpy(np.int64), rows["length"].to_numpy(np.int64)))
+    book = spark.read.parquet(f"{path}/codebook").orderBy("id").toPandas()  # a vocabulary at most
     blocks = spark.read.parquet(f"{path}/blocks")
+    parts = blocks.groupBy("part").agg(F.sum("tokens").alias("n")).orderBy("part").toPandas()  # a row per part written
+    bases = dict(zip(parts["part"].tolist(), (parts["n"].cumsum() - parts["n"]).tolist(), strict=True))
+    shared = spark.sparkContext.broadcast((book["id"].to_numpy(np.int64), book["length"].to_numpy(np.int64), bases))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code = Code(*shared.value)
+        ids, lengths, bases = shared.value
+        code = Code(ids, lengths)
         for batch in slices(batches, "bits", 1 << 20):
             for row in batch.to_pylist():
                 counts = np.array(row["counts"], np.int64)
                 ends = np.cumsum(counts)
-                data = code.unpack(row["bits"], row["checkpoints"], int(ends[-1])).astype("<u4").tobytes()
                 starts = ends - counts
-                ids = [data[4 * a : 4 * b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
-                n = len(ids)
-                arrays = [
-                    pa.array(np.full(n, row["part"]), pa.int64()),
-                    pa.array(np.full(n, row["block"]), pa.int64()),
-                    pa.array(row["docs"], pa.int64()),
-                    pa.array(starts),
-                    pa.array(counts),
-                    pa.array(ids, pa.binary()),
-                ]
-                yield pa.RecordBatch.from_arrays(arrays, ["part", "block", "doc", "inside", "n_tokens", "ids"])
-
-    found = blocks.select("part", "block", "docs", "counts", "bits", "checkpoints").mapInArrow(
-        run, "part long, block long, doc long, inside long, n_tokens long, ids binary"
-    )
-    # Offsets from the block headers alone: blocks within their part, then parts.
-    sums = blocks.select("part", "block", F.aggregate("counts", F.lit(0).cast("long"), lambda a, n: a + n).alias("n"))
-    parts = sums.groupBy("part").agg(F.sum("n").alias("n"))
-    earlier = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
-    parts = parts.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
-    inner = W.partitionBy("part").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
-    heads = sums.select("part", "block", F.coalesce(F.sum("n").over(inner), F.lit(0)).alias("offset"))
-    offsets = heads.join(parts, "part").select(
-        F.col("part").alias("p"), F.col("block").alias("b"), (F.col("base") + F.col("offset")).alias("before")
-    )
-    out = found.join(offsets, (F.col("part") == F.col("p")) & (F.col("block") == F.col("b")))
-    return out.select(F.col("doc").alias(key), (F.col("before") + F.col("inside")).alias("start"), "n_tokens", "ids")
+                data = code.unpack(row["bits"], row["checkpoints"], row["tokens"]).astype("<u4").tobytes()
+                each = [data[4 * a : 4 * b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+                base = bases[row["part"]] + row["before"]
+                arrays = [pa.array(row["docs"], pa.int64()), pa.array(base + starts), pa.array(counts), pa.array(each, pa.binary())]
+                yield pa.RecordBatch.from_arrays(arrays, [key, "start", "n_tokens", "ids"])
 
+    return blocks.select("part", *_BLOCK).mapInArrow(run, f"`{key}` long, start long, n_tokens long, ids binary")
