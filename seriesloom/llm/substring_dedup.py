@@ -127,7 +127,8 @@ def repeated_windows(docs: DataFrame, key: str = "doc_id", text: str = "text") -
     ``tag`` is a hash of the text. Windows are told apart by 128 bits: anchor and path, or anchor and edge.
     """
     table = written(_paths_of(docs, key, text), "paths")
-    shared = table.groupBy("anchor").count().where("count > 1").select("anchor")
+    # Written first, so that the join has an exchange on either side and Spark can split a common anchor.
+    shared = written(table.groupBy("anchor").count().where("count > 1").select("anchor"), "shared")
     used = written(table.join(shared, "anchor", "left_semi"), "used")
     place = F.struct("doc", "tag", "span")
     distinct = written(used.groupBy("anchor", "path").agg(F.count("*").alias("uses"), F.min(place).alias("at")), "distinct")
