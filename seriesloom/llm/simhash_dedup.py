@@ -124,8 +124,9 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
 def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows of ``docs`` that stay: of each near-duplicate group the row with the smallest key (all columns kept).
 
-    If several rows share that smallest key, they are that one document and one of them stays.
+    If several rows share that smallest key, they are that one document and one of them stays. Rows without a key
+    cannot be named and all stay.
     """
     kept = groups(docs, key, text).where(F.col(key) == F.col("component_id")).select(F.col(key).alias("_kept")).distinct()
-    alone = docs.join(kept, F.col(key).cast("long") == F.col("_kept"), "left_semi")
-    return alone.dropDuplicates([key])
+    named = docs.join(kept, F.col(key).cast("long") == F.col("_kept"), "left_semi").dropDuplicates([key])
+    return named.union(docs.where(F.col(key).isNull()))

@@ -94,7 +94,7 @@ def without_repeats(docs: list[tuple[int, str | None]], width: int = 35) -> dict
     return out
 
 
-def edit_distance(a: str, b: str) -> int:
+def edit_distance(a, b) -> int:
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
         before, row[0] = row[0], i

@@ -64,7 +64,8 @@ def test_simhash_edges(make, edge):
     assert rows[4]["component_id"] == 3
     kept = simhash_dedup.deduplicate(make(edge + [(3, "one")]))
     assert kept.columns == make(edge).columns
-    assert sorted(r["doc_id"] for r in kept.select("doc_id").collect() if r["doc_id"] is not None)[:3] == [0, 3, 5]
+    ids = [r["doc_id"] for r in kept.select("doc_id").collect()]
+    assert sorted(i for i in ids if i is not None) == [0, 3, 5, 6, 8, 9] and ids.count(None) == 1
     assert simhash_dedup.groups(make(edge).limit(0)).count() == 0
     clash = make(edge).withColumn("fp", F.lit("x")).withColumn("component_id", F.lit("y"))
     assert simhash_dedup.deduplicate(clash).columns == clash.columns
@@ -118,7 +119,7 @@ def test_majorities():
     assert common.majorities(hashes, counts).tolist() == want
 
 
-def brute_lines(docs, similarity=line_dedup.MIN_SIMILARITY):
+def brute_lines(docs, similarity=line_dedup.MIN_SIMILARITY) -> set[tuple[int, int]]:
     """(id, line number) of the lines that go."""
     hashes = common.WordHashes()
     place, text, sim = {}, {}, {}
@@ -136,13 +137,19 @@ def brute_lines(docs, similarity=line_dedup.MIN_SIMILARITY):
     for a in range(len(names)):
         for b in range(a):
             x, y = names[a], names[b]
-            if (sim[x] ^ sim[y]).bit_count() <= line_dedup.MAX_BITS and brute.edit_distance(x, y) <= (1 - similarity) * max(len(x), len(y)) + 1e-9:
+            if (sim[x] ^ sim[y]).bit_count() <= line_dedup.MAX_BITS and brute.edit_distance(x.split(), y.split()) <= (1 - similarity) * max(len(x.split()), len(y.split())) + 1e-9:
                 edges.append((b, a))
     root = brute.components(range(len(names)), edges)
     first = {names[i]: place[names[r]] for i, r in root.items()}
     return {(i, n) for i, n, norm in uses if first[norm] != (i, n)}
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from("abc"), max_size=40), st.lists(st.sampled_from("abc"), max_size=40))
+def test_edit_distance(x, y):
+    assert line_dedup.edit_distance(x, y) == brute.edit_distance(x, y)
+
+
 @pytest.mark.parametrize("rows", [3, 256])
 def test_lines_equal_brute_force(spark, make, monkeypatch, rows):
     monkeypatch.setattr(line_dedup, "LIST_ROWS", rows)
