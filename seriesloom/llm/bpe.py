@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from pathlib import Path
 from struct import pack
 
@@ -31,9 +31,12 @@ PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
     r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 )
+#: The same for ASCII, in the standard module's syntax (whose ``\s`` holds four more characters).
+ASCII_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\t-\r A-Za-z0-9]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+"
 NEVER = 1 << 60
-#: Pieces of a generation, and compatible pairs, that a worker remembers: some 40 MB each.
-PIECES = 250_000
+#: What a generation of a worker's caches holds: words with their punctuation, pieces, and compatible pairs of tokens.
+#: Two generations take some 100 MB in all.
+CHUNKS, PIECES, PAIRS = 150_000, 100_000, 150_000
 LATE_SPACE = re.compile(r"\s ")
 
 
@@ -56,6 +59,7 @@ class Vocabulary:
             raise ValueError("added tokens must match literally")
         alphabet = byte_alphabet()
         as_bytes = lambda s: bytes(alphabet[c] for c in s)
+        self._merges = [pair.split(" ") if isinstance(pair, str) else pair for pair in model["merges"]]
         ids = {as_bytes(s): i for s, i in model["vocab"].items()}
         self.added = {a["content"]: a["id"] for a in spec["added_tokens"]}
         size = 1 + max(*ids.values(), *self.added.values())
@@ -64,27 +68,29 @@ class Vocabulary:
             self.bytes[i] = s
         for s, i in self.added.items():
             self.bytes[i] = s.encode()
-        self.birth, self.left, self.right = [-1] * size, [0] * size, [0] * size
-        self.merges: dict[tuple[int, int], int] = {}
-        for rank, pair in enumerate(model["merges"]):
-            a, b = map(as_bytes, pair.split(" ") if isinstance(pair, str) else pair)
-            x, y, z = ids[a], ids[b], ids[a + b]
-            if self.birth[z] >= 0 or max(self.birth[x], self.birth[y]) >= rank:
-                raise ValueError("each token needs one merge, after those of its parts")
-            self.merges[x, y] = rank
-            self.birth[z], self.left[z], self.right[z] = rank, x, y
         self.length = [len(s) for s in self.bytes]
         self.go: dict[int, int] = {}
+        self.merges: dict[tuple[int, int], int] = {}
         self._fits: dict[int, bool] = {}
         self._whole: dict[int, bool] = {}
 
     def prepare(self) -> None:
-        """Build what only encoding needs: a trie of the tokens with failure links.
+        """Build what only encoding needs: the merges by rank, and a trie of the tokens with failure links.
 
         ``longest[state]`` is the longest token that is a suffix of what the state has read.
         """
-        added = set(self.added.values())
-        ids = {s: i for i, s in enumerate(self.bytes) if s and i not in added and (len(s) == 1 or self.birth[i] >= 0)}
+        added, alphabet, size = set(self.added.values()), byte_alphabet(), len(self.bytes)
+        known = {s: i for i, s in enumerate(self.bytes) if s and i not in added}
+        self.birth, self.left, self.right = [-1] * size, [0] * size, [0] * size
+        for rank, pair in enumerate(self._merges):
+            a, b = (bytes(alphabet[c] for c in part) for part in pair)
+            x, y, z = known[a], known[b], known[a + b]
+            if self.birth[z] >= 0 or max(self.birth[x], self.birth[y]) >= rank:
+                raise ValueError("each token needs one merge, after those of its parts")
+            self.merges[x, y] = rank
+            self.birth[z], self.left[z], self.right[z] = rank, x, y
+        self._merges = []
+        ids = {s: i for s, i in known.items() if len(s) == 1 or self.birth[i] >= 0}
         go: dict[int, int] = {}
         token = [-1]
         order: list[tuple[int, int, int]] = []
@@ -133,7 +139,7 @@ class Vocabulary:
         key = x << 32 | y
         known = self._fits.get(key)
         if known is None:
-            if len(self._fits) >= PIECES:
+            if len(self._fits) >= PAIRS:
                 self._fits.clear()
             known = self._fits[key] = self._apart(x, y)
         return known
@@ -199,14 +205,18 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.vocabulary = vocabulary
         self.find = regex.compile(PATTERN).findall
-        self.spaced = Remembered(lambda s: self._split(" " + s), PIECES)
+        self.find_ascii = re.compile(ASCII_PATTERN).findall
+        self.pieces = Remembered(self._piece, PIECES)
+        self.spaced = Remembered(lambda s: self._split(" " + s), CHUNKS)
         self.split_added = re.compile("(" + "|".join(map(re.escape, sorted(vocabulary.added, key=len, reverse=True))) + ")")
 
-    def _split(self, text: str) -> bytes:
-        encode = self.vocabulary.encode_piece
-        ids = [i for piece in self.find(text) for i in encode(piece.encode())]
+    def _piece(self, piece: str) -> bytes:
+        ids = self.vocabulary.encode_piece(piece.encode())
         return pack(f"<{len(ids)}I", *ids)
 
+    def _split(self, text: str) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, self.find_ascii(text) if text.isascii() else self.find(text)))
+
     def _plain(self, text: str) -> bytes:
         # A piece never holds white space after other characters, so that a text may be cut before each space that
         # follows a non-space character. That holds for all its spaces unless white space stands before one.
@@ -239,18 +249,22 @@ def _encoder(text: str) -> Encoder:
     return _ENCODERS[key]
 
 
-def _mapped(df: DataFrame, path: str, column: str, cast: str, out: str, kind: str, make) -> DataFrame:
+def _mapped(df: DataFrame, path: str, column: str, cast: str, outs: dict[str, str], make, keep=None) -> DataFrame:
+    """``df`` with the columns ``outs`` (name -> type) that ``make(encoder)`` computes from ``column``."""
     text = df.sparkSession.sparkContext.broadcast(Path(path).read_text())  # a vocabulary file: a few MB, whatever the data
-    keep = others(df, [out])
-    schema = df.select(*keep).schema.add(out, kind)
+    keep = others(df, outs, keep)
+    schema = df.select(*keep).schema
+    for name, kind in outs.items():
+        schema = schema.add(name, kind)
+    kinds = [{"binary": pa.binary(), "string": pa.string()}[kind] for kind in outs.values()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = make(_encoder(text.value))
         for batch in slices(batches, "_in"):
             at = batch.schema.get_field_index("_in")
             columns = [batch.column(i) for i in range(batch.num_columns) if i != at]
-            values = pa.array([one(x) for x in batch.column(at).to_pylist()], pa.binary() if kind == "binary" else pa.string())
-            yield pa.RecordBatch.from_arrays([*columns, values], [*keep, out])
+            found = zip(*[one(x) for x in batch.column(at).to_pylist()], strict=True)
+            yield pa.RecordBatch.from_arrays([*columns, *map(pa.array, found, kinds)], [*keep, *outs])
 
     return df.select(*keep, F.col(column).cast(cast).alias("_in")).mapInArrow(run, schema)
 
@@ -261,7 +275,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids") ->
     ``path`` names a byte-level BPE file of the ``tokenizers`` library on the driver. Null texts are empty texts.
     A column named ``out`` is replaced; all others pass through, one output row per input row.
     """
-    return _mapped(docs, path, text, "string", out, "binary", lambda e: lambda x: e.encode(x or ""))
+    return _mapped(docs, path, text, "string", {out: "binary"}, lambda e: lambda x: (e.encode(x or ""),))
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -269,4 +283,20 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", out: str = "decoded"
 
     Null ids give an empty text; bytes that are not UTF-8 become U+FFFD.
     """
-    return _mapped(encoded, path, ids, "binary", out, "string", lambda e: lambda x: e.decode(x or b""))
+    return _mapped(encoded, path, ids, "binary", {out: "string"}, lambda e: lambda x: (e.decode(x or b""),))
+
+
+def encode_decode(
+    docs: DataFrame, path: str, text: str = "text", out: str = "ids", back: str = "decoded", keep: Sequence[str] | None = None
+) -> DataFrame:
+    """``encode`` and ``decode`` of its ids in one pass, which needs one Python worker per task; ``keep`` names the
+    columns that pass through (all by default)."""
+
+    def both(e: Encoder):
+        def one(x: str | None) -> tuple[bytes, str]:
+            ids = e.encode(x or "")
+            return ids, e.decode(ids)
+
+        return one
+
+    return _mapped(docs, path, text, "string", {out: "binary", back: "string"}, both, keep)

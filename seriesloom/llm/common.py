@@ -7,6 +7,7 @@ import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -43,17 +44,35 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def freeing_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Writes inside give their shuffle files back when they are done, instead of when the driver collects garbage."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read again: lineage ends here and survives lost executors."""
     path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with freeing_shuffles(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def others(df: DataFrame, produced: Iterable[str]) -> list[str]:
-    """Columns of ``df`` that none of ``produced`` replaces (names compare without case, as in Spark)."""
+def others(df: DataFrame, produced: Iterable[str], keep: Sequence[str] | None = None) -> list[str]:
+    """Columns of ``df`` (or of ``keep``) that none of ``produced`` replaces; names compare without case, as in Spark."""
     taken = {name.lower() for name in produced}
-    return [c for c in df.columns if c.lower() not in taken]
+    return [c for c in (df.columns if keep is None else keep) if c.lower() not in taken]
 
 
 def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
@@ -70,6 +89,7 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = 4 << 20)
             stop = max(start + 1, int(np.searchsorted(ends, base + limit, "right")))
             yield batch.slice(start, stop - start)
             start = stop
+    pa.default_memory_pool().release_unused()  # idle workers keep nothing for tasks that may not come
 
 
 class Remembered(dict):

@@ -8,7 +8,7 @@ second repeated line on, since one line of three or four says little.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -72,13 +72,13 @@ def measure(data: bytes, hashes: WordHashes) -> tuple:
     return n, chars, symbols, dup_lines, in_repeats, share, line_chars, *coverage.values(), base_failed, good and not base_failed
 
 
-def with_signals(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with the columns ``SIGNALS``, one output row per input row.
+def with_signals(docs: DataFrame, text: str = "text", keep: Sequence[str] | None = None) -> DataFrame:
+    """``docs`` (or its columns ``keep``) with the columns ``SIGNALS``, one output row per input row.
 
     Null texts count as empty: no words, so ``base_failed``. Columns that already bear a signal's name are replaced;
     all others pass through untouched. Ties cannot arise: every row is judged by itself.
     """
-    keep = others(docs, SIGNALS)
+    keep = others(docs, SIGNALS, keep)
     schema = docs.select(*keep).schema
     for name in LONGS:
         schema = schema.add(name, "long")

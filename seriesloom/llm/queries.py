@@ -44,7 +44,7 @@ def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = bpe.decode(bpe.encode(docs, path).drop("text"), path)
+    coded = bpe.encode_decode(docs, path, keep=["doc_id"])
     return coded.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
@@ -114,7 +114,7 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return quality.with_signals(docs).select("doc_id", *quality.LONGS, "base_failed", "kept")
+    return quality.with_signals(docs, keep=["doc_id"]).select("doc_id", *quality.LONGS, "base_failed", "kept")
 
 
 def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:

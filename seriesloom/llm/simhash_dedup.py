@@ -12,7 +12,7 @@ of these six lists or more.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 
 import numpy as np
@@ -46,12 +46,14 @@ def fingerprint(data: bytes, shingle: int = 3, seed: int = 42) -> int:
     return int.from_bytes(np.packbits(2 * bits > len(hashes)).tobytes(), "big")
 
 
-def with_fingerprint(docs: DataFrame, text: str = "text", out: str = "fp", shingle: int = 3) -> DataFrame:
-    """``docs`` with a long column ``out``: the fingerprint's bits. Null and word-free texts get 0.
+def with_fingerprint(
+    docs: DataFrame, text: str = "text", out: str = "fp", shingle: int = 3, keep: Sequence[str] | None = None
+) -> DataFrame:
+    """``docs`` (or its columns ``keep``) with a long column ``out``: the fingerprint's bits. Null and word-free texts get 0.
 
     A column of the same name is replaced.
     """
-    keep = [c for c in others(docs, [out])]
+    keep = others(docs, [out], keep)
     schema = docs.select(*keep).schema.add(out, "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,7 +113,8 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     Rows with equal fingerprints (copies, texts without words) are one class from the start; only classes
     are compared. Repeated keys and ties stay separate rows with the same group; an empty table gives none.
     """
-    prints = written(with_fingerprint(docs.select(F.col(key).cast("long").alias("id"), text), text).select("id", "fp"), "prints")
+    named = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("t"))
+    prints = written(with_fingerprint(named, "t", keep=["id"]), "prints")
     reps = written(prints.groupBy("fp").agg(F.min("id").alias("rep")), "reps")
     found = components(links(reps))
     named = written(
