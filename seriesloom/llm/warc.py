@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seriesloom.llm.common import freeing_shuffles
+
 MAGIC = b"\x1f\x8b\x08"
 #: Payloads below this size are stored in full each time.
 MIN_REVISIT_BYTES = 1000
@@ -95,7 +97,8 @@ def write(pages: DataFrame, path: str, key: str = "page_id", uri: str = "url", b
                 yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], ["value"])
 
     members = rows.mapInArrow(run, "value binary").select(F.col("value").cast("string").alias("value"))
-    members.write.option("lineSep", "\0").text(path)
+    with freeing_shuffles(pages.sparkSession):
+        members.write.option("lineSep", "\0").text(path)
 
 
 def _starts(piece: bytes) -> bool:
