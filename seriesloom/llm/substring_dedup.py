@@ -127,16 +127,16 @@ def repeated_windows(docs: DataFrame, key: str = "doc_id", text: str = "text") -
     ``tag`` is a hash of the text. Windows are told apart by 128 bits: anchor and path, or anchor and edge.
     """
     table = written(_paths_of(docs, key, text), "paths")
-    # Written first, so that the join has an exchange on either side and Spark can split a common anchor.
+    # What an aggregation feeds to a join is written first: with an exchange on either side Spark can split a common key.
     shared = written(table.groupBy("anchor").count().where("count > 1").select("anchor"), "shared")
     used = written(table.join(shared, "anchor", "left_semi"), "used")
     place = F.struct("doc", "tag", "span")
     distinct = written(used.groupBy("anchor", "path").agg(F.count("*").alias("uses"), F.min(place).alias("at")), "distinct")
     whole = used.join(distinct.where("uses > 1").select("anchor", "path"), ["anchor", "path"], "left_semi")
-    lone = distinct.where("uses = 1").select("anchor").distinct()
+    lone = written(distinct.where("uses = 1").select("anchor").distinct(), "lone")
     wanted = distinct.join(lone, "anchor", "left_semi").select("anchor", "uses", "at.doc", "at.tag", "at.span")
     edges = written(_opened(docs, wanted, key, text), "edges")
-    twice = edges.groupBy("anchor", "edge").agg(F.sum("uses").alias("all")).where("all > 1").select("anchor", "edge")
+    twice = written(edges.groupBy("anchor", "edge").agg(F.sum("uses").alias("all")).where("all > 1").select("anchor", "edge"), "twice")
     ends = edges.where("uses = 1").join(twice, ["anchor", "edge"], "left_semi")
     return whole.select("doc", "tag", "span").union(ends.select("doc", "tag", "span"))
 
