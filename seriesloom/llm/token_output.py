@@ -8,36 +8,84 @@ every ``STEP``-th token. Blocks decode independently, and all checkpoints of a b
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Iterator
 from pathlib import Path
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesloom.llm.common import Remembered, slices, written
+from seriesloom.llm.bpe import byte_alphabet
+from seriesloom.llm.common import Remembered, freeing_shuffles, slices, written
 
 LIMIT = 20
 STEP = 128
-BLOCK_TOKENS = 1 << 16
+BLOCK_TOKENS = 1 << 17
+#: Words of a generation that a worker remembers: some 100 MB.
+WORDS = 700_000
 
 
 # ---- tokens
 
 
-class WordEncoder(Remembered):
+#: Characters that NFC leaves alone, whose case depends on nothing around them, and that are no white space.
+_SIMPLE = re.compile("[!-~\u00a1-\u024f]+")
+
+
+def _pattern(spec: str) -> str | None:
+    """The splitting pattern of a tokenizer that lower-cases and then cuts out what matches, or None for any other."""
+    parts = json.loads(spec)
+    norm = (parts.get("normalizer") or {}).get("normalizers", [])
+    pre = (parts.get("pre_tokenizer") or {}).get("pretokenizers") or [{}, {}]
+    plain = sorted(n["type"] for n in norm) == ["Lowercase", "NFC", "Replace"]
+    blank = any(n.get("pattern") == {"Regex": r"\s+"} and n.get("content") == " " for n in norm)
+    cuts = pre[0].get("type") == "Split" and pre[0]["behavior"] == "Removed" and pre[0]["invert"] and "Regex" in pre[0]["pattern"]
+    level = len(pre) == 2 and pre[1].get("type") == "ByteLevel" and not pre[1]["add_prefix_space"] and not pre[1]["use_regex"]
+    return pre[0]["pattern"]["Regex"] if plain and blank and cuts and level else None
+
+
+def _for_ascii(pattern: str) -> str | None:
+    """The same pattern for lower-case ASCII in the standard module's syntax, if its properties stand in classes."""
+    if r"\p" in re.sub(r"\[[^\]]*\]", "", pattern):
+        return None
+    plain = pattern.replace(r"\p{L}", "a-z").replace(r"\p{N}", "0-9")
+    return None if r"\p" in plain else plain
+
+
+class WordEncoder:
     """Texts to packed ids with a tokenizer that drops white space between words.
 
-    For such a tokenizer the ids of a text are those of its white-space separated words, one after another. Unknown
-    words of a text are encoded in one call; token offsets tell which word each id belongs to.
+    For such a tokenizer the ids of a text are those of its white-space separated words, one after another. Words are
+    remembered in two generations of bounded size. New words of simple characters go to the library's model piece by
+    piece, cut by the tokenizer's own pattern, since normalising changes nothing but their case; the others go through
+    the whole tokenizer in one call, whose offsets tell which word an id belongs to.
     """
 
-    def __init__(self, spec: str, kind: str = "<u4") -> None:
-        super().__init__(None)
-        self.tokenizer, self.kind = _tokenizer(spec), kind
-
-    def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
+    def __init__(self, spec: str, kind: str = "<u4", limit: int = WORDS) -> None:
+        self.tokenizer, self.kind, self.limit = _tokenizer(spec), kind, limit
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+        added = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.is_added = re.compile("|".join(map(re.escape, added)) or "(?!)").search
+        pattern = _pattern(spec)
+        self.find = pattern and regex.compile(pattern).findall
+        plain = pattern and _for_ascii(pattern)
+        self.find_ascii = re.compile(plain).findall if plain else self.find
+        self.model = self.tokenizer.model
+        self.letters = {b: c for c, b in byte_alphabet().items()}
+        self.pieces = Remembered(self._piece, limit)
+
+    def _piece(self, piece: str) -> bytes:
+        text = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
+        ids = [t.id for t in self.model.tokenize(text)]
+        return pack(f"<{len(ids)}{'H' if self.kind == '<u2' else 'I'}", *ids)
+
+    def _whole(self, words: list[bytes]) -> dict[bytes, bytes]:
         text = [w.decode("utf-8", "replace") for w in words]
         found = self.tokenizer.encode(" ".join(text), add_special_tokens=False)
         starts = np.cumsum([len(t) + 1 for t in text])
@@ -47,21 +95,41 @@ class WordEncoder(Remembered):
         ends = (np.searchsorted(at, starts, "left") * width).tolist()
         return {word: ids[a:b] for word, a, b in zip(words, [0, *ends], ends)}
 
+    def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
+        if not self.find:
+            return self._whole(words)
+        out, rest = {}, []
+        simple, is_added, piece = _SIMPLE.fullmatch, self.is_added, self.pieces.__getitem__
+        for word in words:
+            text = word.decode("utf-8", "replace").lower()
+            if simple(text) and not is_added(text):
+                found = self.find_ascii(text) if word.isascii() else self.find(text)
+                out[word] = b"".join(map(piece, found))
+            else:
+                rest.append(word)
+        return out | self._whole(rest) if rest else out
+
     def encode(self, data: bytes) -> bytes:
         words = data.split()
-        own = {}
-        if new := [w for w in set(words) if w not in self]:
-            old = self.old
-            own = {w: old[w] for w in new if w in old}
-            if unknown := [w for w in new if w not in own]:
-                own |= self._learn(unknown)
-            if len(self) + len(own) > self.limit:  # the young generation still serves this text
-                out = b"".join([own[w] if w in own else self[w] for w in words])
-                for word, ids in own.items():
-                    self.keep(word, ids)
-                return out
-            self.update(own)
-        return b"".join(map(self.__getitem__, words))
+        young, old = self.young, self.old
+        parts = list(map(young.get, words))
+        if None in parts:
+            gaps = [i for i, p in enumerate(parts) if p is None]
+            unknown = []
+            for word in {words[i] for i in gaps}:
+                ids = old.get(word)
+                if ids is None:
+                    unknown.append(word)
+                else:
+                    young[word] = ids
+            if unknown:
+                young.update(self._learn(unknown))
+            for i in gaps:
+                parts[i] = young[words[i]]
+        out = b"".join(parts)
+        if len(young) > self.limit:
+            self.young, self.old = {}, young
+        return out
 
 
 def _tokenizer(spec: str):
@@ -129,8 +197,11 @@ class Code:
         self.code, self.length = np.zeros(size, np.uint64), np.zeros(size, np.int64)
         self.code[ids] = (starts >> (LIMIT - lengths)).astype(np.uint64)
         self.length[ids] = lengths
-        self.symbol = np.repeat(ids.astype(np.uint32), steps)
-        self.step = np.repeat(lengths.astype(np.uint8), steps)
+        # Look-up by the next LIMIT bits; a code of one symbol leaves half of them without meaning.
+        self.symbol, self.step = np.zeros((2, 1 << LIMIT), np.uint32)
+        used = int(steps.sum())
+        self.symbol[:used] = np.repeat(ids.astype(np.uint32), steps)
+        self.step[:used] = np.repeat(lengths.astype(np.uint32), steps)
 
     def pack(self, ids: np.ndarray) -> tuple[bytes, bytes]:
         """Bit stream and checkpoints."""
@@ -152,14 +223,14 @@ class Code:
 
     def unpack(self, bits: bytes, checkpoints: bytes, n: int) -> np.ndarray:
         """The ``n`` ids of a block; one lane per checkpoint."""
-        raw = np.frombuffer(bits + bytes(4), np.uint8).astype(np.uint32)
+        spare = STEP * LIMIT // 8 + 8  # lanes that are past their end read on into zeros
+        raw = np.frombuffer(bits + bytes(spare), np.uint8).astype(np.uint32)
         windows = (raw[:-3] << 24) | (raw[1:-2] << 16) | (raw[2:-1] << 8) | raw[3:]
-        at = np.frombuffer(checkpoints, "<u4").astype(np.int64)
+        at = np.frombuffer(checkpoints, "<u4").astype(np.uint32)
         out = np.zeros((STEP, len(at)), np.uint32)
-        top, shift = windows.size - 1, np.uint32(32 - LIMIT)
+        shift = np.uint32(32 - LIMIT)
         for i in range(min(STEP, n)):
-            seen = (windows[np.minimum(at >> 3, top)] << (at & 7).astype(np.uint32)) >> shift
-            seen = np.minimum(seen, np.uint32(len(self.symbol) - 1))  # only lanes that are past their end
+            seen = (windows[at >> 3] << (at & 7)) >> shift
             out[i] = self.symbol[seen]
             at = at + self.step[seen]
         return out.T.reshape(-1)[:n]
@@ -222,7 +293,8 @@ def write(docs: DataFrame, tokenizer: str, path: str, key: str = "doc_id", text:
 
     ordered = coded.repartitionByRange("doc").sortWithinPartitions("doc", "ids")
     made = ordered.mapInArrow(blocks, "before long, tokens long, docs array<long>, counts array<long>, bits binary, checkpoints binary")
-    made.select(F.spark_partition_id().alias("part"), "*").write.parquet(f"{path}/blocks")
+    with freeing_shuffles(spark):
+        made.select(F.spark_partition_id().alias("part"), "*").write.parquet(f"{path}/blocks")
 
 
 _BLOCK = ["before", "tokens", "docs", "counts", "bits", "checkpoints"]
