@@ -199,10 +199,16 @@ def majorities(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     first = np.cumsum(parts) - parts
     inside = np.arange(int(parts.sum())) - np.repeat(first, parts)
     starts = np.repeat(np.cumsum(counts) - counts, parts) + _LANE_MAX * inside
-    lanes = _LANES[hashes.astype("<u8").view(np.uint8).reshape(-1, 8)]
-    sums = np.add.reduceat(lanes, starts, axis=0).view(np.uint8).astype(np.int32)
-    bits = np.add.reduceat(sums, first, axis=0)
-    return np.packbits(2 * bits > counts[:, None], axis=1, bitorder="little").view("<u8").reshape(-1)
+    each = np.ascontiguousarray(hashes.astype("<u8").view(np.uint8).reshape(-1, 8).T)
+    sums = np.empty((len(starts), 8), "<u8")
+    for i, values in enumerate(each):
+        sums[:, i] = np.add.reduceat(_LANES[values], starts)
+    bits = sums.view(np.uint8)
+    half = counts // 2
+    over = bits[first] > half.clip(max=_LANE_MAX)[:, None]
+    for run in np.flatnonzero(parts > 1):
+        over[run] = bits[first[run] : first[run] + parts[run]].sum(axis=0, dtype=np.int64) > half[run]
+    return np.packbits(over, axis=1, bitorder="little").view("<u8").reshape(-1)
 
 
 def components(edges: DataFrame) -> DataFrame:
