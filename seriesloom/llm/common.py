@@ -61,11 +61,28 @@ def freeing_shuffles(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(_CLEANUP, before)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables written inside are deleted at the end, unless ``kept``; nothing that is still to run may read them."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def written(df: DataFrame, name: str, kept: bool = False) -> DataFrame:
     """``df`` written to the shared folder and read again: lineage ends here and survives lost executors."""
     path = new_path(df.sparkSession, name)
     with freeing_shuffles(df.sparkSession):
         df.write.parquet(path)
+    if _scopes and not kept:
+        _scopes[-1].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
