@@ -8,6 +8,11 @@ Lists of single positional bytes would hold a 256th of the corpus each, so that
 quadratic. The index therefore keys on two of the four positional byte pairs at a time: two differing
 bits spoil at most two byte pairs, so each pair of fingerprints that can reach the minimum meets in one
 of these six lists or more.
+
+Two bits are near identity. ``similar_groups`` and ``deduplicate_similar`` hold the wider rule of the pipeline: texts
+whose sets of five-word shingles have a Jaccard similarity of 0.8 or more. At 0.8 a SimHash differs in about ten of 64
+bits, too many for any positional index, so candidates come from 32 independent fingerprints instead, each of four
+minima of hashes of the shingles, and are verified by their exact similarity.
 """
 
 from __future__ import annotations
@@ -21,13 +26,19 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesloom.llm.common import components, others, slices, written
+from seriesloom.llm.common import WordHashes, components, mixed, others, rolled, slices, written
 
 MAX_BITS = 2
 MIN_SHARED_BYTES = 8 - MAX_BITS
 #: Lists up to this length are compared pairwise; longer ones by shared neighbours, which is exact and linear.
 LIST_ROWS = 64
 
+#: The rule for similar texts: words of a shingle, and the least Jaccard similarity as a fraction.
+SHINGLE = 5
+SIMILAR = (4, 5)
+#: Independent fingerprints and minima in each: a pair at 0.8 meets in none with a probability of (1 - 0.8^4)^32 = 5e-8.
+BANDS, MINIMA = 32, 4
+
 
 def fingerprint(data: bytes, shingle: int = 3, seed: int = 42) -> int:
     """64-bit SimHash of the word shingles of a UTF-8 text, as an unsigned number; 0 without words."""
@@ -130,6 +141,118 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     If several rows share that smallest key, they are that one document and one of them stays. Rows without a key
     cannot be named and all stay.
     """
-    kept = groups(docs, key, text).where(F.col(key) == F.col("component_id")).select(F.col(key).alias("_kept")).distinct()
+    return _leaders(docs, groups(docs, key, text), key)
+
+
+def _leaders(docs: DataFrame, found: DataFrame, key: str) -> DataFrame:
+    kept = found.where(F.col(key) == F.col("component_id")).select(F.col(key).alias("_kept")).distinct()
     named = docs.join(kept, F.col(key).cast("long") == F.col("_kept"), "left_semi").dropDuplicates([key])
     return named.union(docs.where(F.col(key).isNull()))
+
+
+def shingles(data: bytes, hashes: WordHashes, shingle: int = SHINGLE) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the word shingles of a UTF-8 text; a shorter text is one shingle."""
+    words = data.lower().split()
+    return np.unique(rolled(hashes.of(words), min(shingle, len(words)))) if words else np.empty(0, np.uint64)
+
+
+_SEEDS = mixed(np.arange(1, 2 * BANDS * MINIMA + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def bands(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """For each run of ``counts`` (all positive) consecutive shingle hashes: ``BANDS`` fingerprints of its set."""
+    starts = np.cumsum(counts) - counts
+    out = np.empty((len(counts), BANDS), np.uint64)
+    for band in range(BANDS):
+        key = np.full(len(counts), band, np.uint64)
+        for i in range(band * MINIMA, (band + 1) * MINIMA):
+            least = np.minimum.reduceat((values ^ _SEEDS[2 * i]) * (_SEEDS[2 * i + 1] | np.uint64(1)), starts)
+            key = mixed(key ^ mixed(least))
+        out[:, band] = key
+    return out
+
+
+def _sets(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """``id, tag`` (hash of the text), ``n`` (distinct shingles), ``c`` and ``c2`` (hash of the set) and ``bands`` per row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in slices(batches, "_data", 1 << 18):
+            sets = [shingles(x or b"", hashes) for x in batch.column(2).to_pylist()]
+            n = np.array([len(x) for x in sets], np.int64)
+            some = n > 0
+            c, c2, lists = np.zeros(len(n), np.uint64), np.zeros(len(n), np.uint64), [[]] * len(n)
+            if some.any():
+                values, counts = np.concatenate(sets), n[some]
+                starts = np.cumsum(counts) - counts
+                c[some] = np.add.reduceat(mixed(values), starts)
+                c2[some] = np.add.reduceat(mixed(~values), starts)
+                for i, row in zip(np.flatnonzero(some), bands(values, counts).view(np.int64), strict=True):
+                    lists[i] = row
+            arrays = [pa.array(x.view(np.int64)) for x in (n, c, c2)] + [pa.array(lists, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *arrays], ["id", "tag", "n", "c", "c2", "bands"])
+
+    named = docs.where(F.col(key).isNotNull())
+    named = named.select(F.col(key).cast("long").alias("id"), F.xxhash64(text).alias("tag"), F.col(text).cast("binary").alias("_data"))
+    return named.mapInArrow(run, "id long, tag long, n long, c long, c2 long, bands array<long>")
+
+
+def _similar(both: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` whose texts ``x, y`` reach the similarity, counted exactly on their sets of shingles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in slices(batches, "x"):
+            near = []
+            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                p, q = shingles(x, hashes), shingles(y, hashes)
+                common = len(np.intersect1d(p, q, assume_unique=True))
+                near.append(SIMILAR[1] * common >= SIMILAR[0] * (len(p) + len(q) - common))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(near, pa.bool_()))
+
+    return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+
+
+def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``key, component_id`` per row with a key: groups connected by similar texts, named by their smallest key.
+
+    Texts with equal sets of shingles (copies, texts without words) are one class from the start. In every list of
+    classes with an equal fingerprint all are first verified against the list's least; after that only pairs that are
+    still in different groups are looked at, so that a group of many similar texts never makes its pairs.
+    """
+    sets = written(_sets(docs, key, text), "sets")
+    first = F.min(F.struct("id", "tag")).alias("first")
+    classes = written(sets.groupBy("c", "c2", "n").agg(first, F.any_value("bands").alias("bands")), "sets")
+    postings = classes.select("c", "n", F.explode("bands").alias("word"))
+    lists = postings.groupBy("word").agg(F.count("*").alias("count"), F.min(F.struct("c", "n")).alias("least")).where("count > 1")
+    shared = written(postings.join(lists.drop("count"), "word"), "shared")
+    own = docs.select(F.col(key).cast("long").alias("id"), F.xxhash64(text).alias("tag"), F.col(text).cast("binary").alias("t"))
+
+    def sized(x: str, y: str):
+        return SIMILAR[1] * F.least(x, y) >= SIMILAR[0] * F.greatest(x, y)
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        pairs = written(pairs.distinct(), "pairs")
+        nodes = pairs.select(F.col("a").alias("c")).union(pairs.select(F.col("b").alias("c"))).distinct()
+        wanted = classes.join(nodes, "c").select("c", "first.id", "first.tag")
+        texts = written(own.join(wanted, ["id", "tag"]).select("c", "t").dropDuplicates(["c"]), "texts")
+        x, y = (texts.select(F.col("c").alias(c), F.col("t").alias(t)) for c, t in (("a", "x"), ("b", "y")))
+        return written(_similar(pairs.join(x, "a").join(y, "b")), "links")
+
+    stars = shared.where((F.col("c") != F.col("least.c")) & sized("n", "least.n"))
+    links = verified(stars.select(F.col("least.c").alias("a"), F.col("c").alias("b")))
+    found = written(components(links).select(F.col("node").alias("c"), F.col("component").alias("g")), "groups")
+    labelled = written(shared.join(found, "c", "left").select("word", "c", "n", F.coalesce("g", "c").alias("g")), "labelled")
+    x, y = labelled.alias("x"), labelled.alias("y")
+    apart = (F.col("x.word") == F.col("y.word")) & (F.col("x.c") < F.col("y.c")) & (F.col("x.g") != F.col("y.g"))
+    rest = x.join(y, apart & sized("x.n", "y.n")).select(F.col("x.c").alias("a"), F.col("y.c").alias("b"))
+    found = components(links.union(verified(rest))).withColumnRenamed("node", "c")
+    member = written(classes.join(found, "c", "left").select("c", "c2", "n", "first.id", F.coalesce("component", "c").alias("g")), "member")
+    names = written(member.groupBy("g").agg(F.min("id").alias("component_id")), "named")
+    member = member.join(names, "g").select("c", "c2", "n", "component_id")
+    return sets.join(member, ["c", "c2", "n"]).select(F.col("id").alias(key), "component_id")
+
+
+def deduplicate_similar(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Rows of ``docs`` that stay: of each group of similar texts the row with the smallest key, as in ``deduplicate``."""
+    return _leaders(docs, similar_groups(docs, key, text), key)
