@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesloom.functions.scalar import half_even
-from seriesloom.learners.trees import LearnerSpec
 from seriesloom.operators import clean, evaluate, features, forecast, frames, gates, profile, quality
 from seriesloom.plans.pipeline import featured, newest_day
 from seriesloom.sources import readers, writers
@@ -16,9 +15,8 @@ SHORT = 7
 CUTOFF = "2001-01-01"
 SPAN = ("1999-01-01", "1999-12-31")
 BRAND = "Brand#11"
-#: Learner settings of the registered queries; the operators default to the full number of rounds.
-QUICK = LearnerSpec(rounds=40, rate=0.1)
-QUICK_STOP = LearnerSpec(rounds=60, rate=0.1, early_stop=10)
+#: Steps that one task fits: the forecasts are the same for any number, smaller ones spread a series over more tasks.
+STEP_BLOCK = 10
 
 Spark, Frame = SparkSession, DataFrame
 
@@ -273,19 +271,19 @@ def worst_days(spark: Spark, d: str) -> Frame:
 def forecast_direct(spark: Spark, d: str) -> Frame:
     as_of = _as_of(spark, d)
     feat = _features(spark, d)
-    gated = gates.gate_direct(gates.series_profile(feat), as_of, SHORT)
-    return writers.forecast_rows(forecast.direct(gates.passing(feat, gated), as_of, SHORT, QUICK))
+    gated = gates.gate_direct(gates.series_profile(feat), as_of, HORIZON)
+    return writers.forecast_rows(forecast.direct(gates.passing(feat, gated), as_of, HORIZON, step_block=STEP_BLOCK))
 
 
 def forecast_recursive(spark: Spark, d: str) -> Frame:
     as_of = _as_of(spark, d)
     feat = _features(spark, d, include_current=False)
     gated = gates.gate_recursive(gates.series_profile(feat), gates.train_rows(feat), as_of)
-    return writers.forecast_rows(forecast.recursive(gates.passing(feat, gated), as_of, SHORT, QUICK_STOP))
+    return writers.forecast_rows(forecast.recursive(gates.passing(feat, gated), as_of, HORIZON))
 
 
 def _models(spark: Spark, d: str) -> Frame:
-    return forecast.train(featured(readers.raw_order_lines(spark, d), include_current=False), QUICK_STOP)
+    return forecast.train(featured(readers.raw_order_lines(spark, d), include_current=False))
 
 
 def series_models(spark: Spark, d: str) -> Frame:
@@ -302,7 +300,7 @@ def feature_importance(spark: Spark, d: str) -> Frame:
 
 def holdout_predictions(spark: Spark, d: str) -> Frame:
     feat = _features(spark, d, include_current=False)
-    models = forecast.train(feat, QUICK_STOP)
+    models = forecast.train(feat)
     test = frames.holdout_split(feat).where("split = 'test'")
     return evaluate.actual_vs_pred(feat.select("series_id", "date", "quant"), forecast.score(test, models))
 
@@ -318,7 +316,7 @@ def forecast_slice(spark: Spark, d: str) -> Frame:
 
 
 def forecast_pooled(spark: Spark, d: str) -> Frame:
-    return forecast.direct_pooled(_features(spark, d), _as_of(spark, d), SHORT, rounds=10)
+    return forecast.direct_pooled(_features(spark, d), _as_of(spark, d), HORIZON)
 
 
 def hourly_forecast(spark: Spark, d: str) -> Frame:

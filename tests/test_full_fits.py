@@ -1,0 +1,43 @@
+from __future__ import annotations
+
+import inspect
+
+import pytest
+
+from seriesloom.learners.trees import LearnerSpec
+from seriesloom.operators import forecast
+from seriesloom.plans import queries
+
+
+class Called(Exception):
+    pass
+
+
+@pytest.mark.parametrize(
+    ("query", "operator", "spec"),
+    [
+        ("forecast_direct", "direct", LearnerSpec()),
+        ("forecast_scan", "direct", LearnerSpec()),
+        ("forecast_slice", "direct", LearnerSpec()),
+        ("forecast_recursive", "recursive", LearnerSpec(early_stop=50)),
+        ("series_models", "train", LearnerSpec(early_stop=50)),
+        ("available_series", "train", LearnerSpec(early_stop=50)),
+        ("feature_importance", "train", LearnerSpec(early_stop=50)),
+        ("holdout_predictions", "train", LearnerSpec(early_stop=50)),
+        ("forecast_pooled", "direct_pooled", None),
+    ],
+)
+def test_registered_queries_run_the_whole_job(spark, sf, monkeypatch, query, operator, spec):
+    signature, seen = inspect.signature(getattr(forecast, operator)), {}
+
+    def called(*args, **named):
+        bound = signature.bind(*args, **named)
+        bound.apply_defaults()
+        seen.update(bound.arguments)
+        raise Called
+
+    monkeypatch.setattr(forecast, operator, called)
+    with pytest.raises(Called):
+        queries.QUERIES[query](spark, sf)
+    assert spec is None or (seen["spec"] == spec and spec.rounds == 1000 and spec.rate == 0.01)
+    assert seen.get("horizon", 30) == 30 and "rounds" not in seen.get("options", {})
