@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesloom.llm.common import Remembered, others, slices
+from seriesloom.llm.common import Aside, Remembered, slices
 
 #: The published splitting pattern of this family of vocabularies.
 PATTERN = (
@@ -252,7 +252,8 @@ def _encoder(text: str) -> Encoder:
 def _mapped(df: DataFrame, path: str, column: str, cast: str, outs: dict[str, str], make, keep=None) -> DataFrame:
     """``df`` with the columns ``outs`` (name -> type) that ``make(encoder)`` computes from ``column``."""
     text = df.sparkSession.sparkContext.broadcast(Path(path).read_text())  # a vocabulary file: a few MB, whatever the data
-    keep = others(df, outs, keep)
+    aside = Aside(df)
+    df, column, keep = aside.docs, aside[column], aside.kept(outs, keep)
     schema = df.select(*keep).schema
     for name, kind in outs.items():
         schema = schema.add(name, kind)
@@ -266,7 +267,7 @@ def _mapped(df: DataFrame, path: str, column: str, cast: str, outs: dict[str, st
             found = zip(*[one(x) for x in batch.column(at).to_pylist()], strict=True)
             yield pa.RecordBatch.from_arrays([*columns, *map(pa.array, found, kinds)], [*keep, *outs])
 
-    return df.select(*keep, F.col(column).cast(cast).alias("_in")).mapInArrow(run, schema)
+    return aside.back(df.select(*keep, F.col(column).cast(cast).alias("_in")).mapInArrow(run, schema), outs)
 
 
 def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids") -> DataFrame:

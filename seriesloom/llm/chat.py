@@ -50,6 +50,29 @@ def events_of_turns(turns: DataFrame, conv: str = "conv_id", turn: str = "turn",
     )
 
 
+def streamed(log: DataFrame, steps: int = 8) -> DataFrame:
+    """A log of whole messages as an assistant's service would have written it, event by event.
+
+    Every message starts with a draft that a regeneration drops; its text then streams in as two deltas. Every other
+    message gets a slip of the pen appended, which an edit to the whole text repairs. Folding gives the first log's
+    messages back.
+    """
+    text = F.coalesce("text", F.lit(""))
+    half = F.floor(F.length(text) / 2).cast("int")
+    begin = F.substring(text, F.lit(1), half)
+    rest = F.substring(text, half + 1, F.length(text))
+
+    def event(step: int, kind: str, said: Column):
+        return F.struct(F.lit(step).alias("step"), F.lit(kind).alias("kind"), said.cast("string").alias("said"))
+
+    usual = [event(0, "message", F.reverse(begin)), event(1, "regenerate", F.lit(None)), event(2, "delta", begin), event(3, "delta", rest)]
+    slip = [event(4, "delta", F.lit(" <|")), event(5, "edit", text)]
+    events = F.when(F.col("message") % 2 == 0, F.array(*usual, *slip)).otherwise(F.array(*usual))
+    rows = log.select("conv_id", "seq", "message", "role", F.explode(events).alias("e"))
+    role = F.when(F.col("e.kind") == "message", F.col("role"))
+    return rows.select("conv_id", (F.col("seq") * steps + F.col("e.step")).alias("seq"), "message", "e.kind", role.alias("role"), F.col("e.said").alias("text"))
+
+
 def fold(events: DataFrame) -> DataFrame:
     """``conv_id, position, role, text``: the final messages, placed by their first event.
 

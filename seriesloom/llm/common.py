@@ -86,10 +86,27 @@ def written(df: DataFrame, name: str, kept: bool = False) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def others(df: DataFrame, produced: Iterable[str], keep: Sequence[str] | None = None) -> list[str]:
-    """Columns of ``df`` (or of ``keep``) that none of ``produced`` replaces; names compare without case, as in Spark."""
-    taken = {name.lower() for name in produced}
-    return [c for c in (df.columns if keep is None else keep) if c.lower() not in taken]
+class Aside:
+    """``docs`` with its columns under names of their own, so that none clashes with a name that an operator works with."""
+
+    def __init__(self, docs: DataFrame) -> None:
+        self.names, self.own = docs.columns, [f"_in_{i}" for i in range(len(docs.columns))]
+        self.docs = docs.toDF(*self.own)
+
+    def __getitem__(self, name: str) -> str:
+        """The name that a column has here; names compare without case, as in Spark."""
+        return self.own[[c.lower() for c in self.names].index(name.lower())]
+
+    def kept(self, produced: Iterable[str], keep: Sequence[str] | None = None) -> list[str]:
+        """The columns (of those named ``keep``) that none of ``produced`` replaces."""
+        wanted = None if keep is None else {c.lower() for c in keep}
+        taken = {c.lower() for c in produced}
+        return [o for o, c in zip(self.own, self.names, strict=True) if c.lower() not in taken and (wanted is None or c.lower() in wanted)]
+
+    def back(self, out: DataFrame, produced: Iterable[str] = ()) -> DataFrame:
+        """The columns of ``out`` under their first names, then those produced."""
+        named = [F.col(o).alias(c) for o, c in zip(self.own, self.names, strict=True) if o in out.columns]
+        return out.select(*named, *[F.col(f"`{c}`") for c in produced])
 
 
 def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:

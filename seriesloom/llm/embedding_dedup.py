@@ -5,7 +5,8 @@ product of int8 values, exact in single precision, times the scales approximates
 it is off by at most ``|q_x| e_y + e_x``. Only pairs that this bound leaves possible are computed in double precision.
 
 Equal vectors are one class with a count before anything is compared. Tiles are hash parts of a label with a bounded
-expected size, each pair of tiles is one row, and a row gives counts and a spanning forest, never the pairs.
+expected size. A pair of tiles travels as int8 values only and names the classes that are still possible; the vectors of
+those follow in a join of their own, and each pair of tiles then gives counts and a spanning forest, never the pairs.
 """
 
 from __future__ import annotations
@@ -57,83 +58,92 @@ def _forest(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
         root = new
 
 
-def _pack(table: pa.Table) -> pa.Table:
-    """One row per tile: ids, copies, int8 values, scales, error lengths and the vectors themselves."""
-    ids = table["rep"].to_numpy()
-    x = table["embedding"].combine_chunks().flatten().to_numpy().astype(np.float64).reshape(len(ids), -1)
+def _unit(x: np.ndarray) -> np.ndarray:
     unit = x / np.abs(x).max(axis=1)[:, None]
-    unit /= np.linalg.norm(unit, axis=1)[:, None]
-    q, scale, error = quantised(unit)
-    blobs = [ids.tobytes(), table["copies"].to_numpy().tobytes(), q.tobytes(), scale.tobytes(), error.tobytes(), x.tobytes()]
-    key = [pa.array(table[c].to_numpy()[:1]) for c in ("label", "dim", "tile", "tiles")]
-    return pa.Table.from_arrays([*key, *[pa.array([b], pa.binary()) for b in blobs]], names=_NAMES)
+    return unit / np.linalg.norm(unit, axis=1)[:, None]
+
 
+def _rows(column: pa.ChunkedArray | pa.Array, n: int) -> np.ndarray:
+    flat = column.combine_chunks().flatten() if isinstance(column, pa.ChunkedArray) else column.flatten()
+    return flat.to_numpy(zero_copy_only=False).astype(np.float64).reshape(n, -1)
 
-_NAMES = ["label", "dim", "tile", "tiles", "ids", "copies", "q", "scale", "error", "vectors"]
-_BLOBS = _NAMES[4:]
 
+_BLOBS = ["ids", "q", "scale", "error"]
 
-class _Tile:
-    def __init__(self, row: dict, side: str, dim: int) -> None:
-        self.ids = np.frombuffer(row[f"ids_{side}"], np.int64)
-        self.copies = np.frombuffer(row[f"copies_{side}"], np.int64)
-        self.q = np.frombuffer(row[f"q_{side}"], np.int8).reshape(-1, dim)
-        self.scale = np.frombuffer(row[f"scale_{side}"], np.float64)
-        self.error = np.frombuffer(row[f"error_{side}"], np.float64)
-        self.x = np.frombuffer(row[f"vectors_{side}"], np.float64).reshape(-1, dim)
-        self.length = np.linalg.norm(self.x, axis=1)
+
+def _pack(table: pa.Table) -> pa.Table:
+    """One row per tile: class numbers, int8 values, scales and error lengths; not the vectors."""
+    ids = table["cid"].to_numpy()
+    blobs = [ids, *quantised(_unit(_rows(table["embedding"], len(ids))))]
+    key = [table[c].slice(0, 1).combine_chunks() for c in _TILE]
+    return pa.Table.from_arrays([*key, *[pa.array([b.tobytes()], pa.binary()) for b in blobs]], names=[*_TILE, *_BLOBS])
 
 
-def _compare(row: dict, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Linked ids of a pair of tiles, the number of vectors each links to, and the root of each in a spanning forest."""
-    a, b = (_Tile(row, side, row["dim"]) for side in "ab")
-    i, j = possible(a.q, a.scale, a.error, b.q, b.scale, b.error, threshold)
+_TILE = ["label", "dim", "tile", "tiles"]
+
+
+def _survivors(row: dict, threshold: float) -> np.ndarray:
+    """Classes of a pair of tiles that the bound leaves possible with any other."""
+    sides = []
+    for side in "ab":
+        q = np.frombuffer(row[f"q_{side}"], np.int8).reshape(-1, row["dim"])
+        sides += [q, np.frombuffer(row[f"scale_{side}"]), np.frombuffer(row[f"error_{side}"])]
+    i, j = possible(*sides, threshold)
+    a, b = (np.frombuffer(row[f"ids_{side}"], np.int64) for side in "ab")
     if row["a"] == row["b"]:
         i, j = i[i < j], j[i < j]
+    return np.union1d(a[i], b[j])
+
+
+def _compare(table: pa.Table, threshold: float) -> pa.Table:
+    """Linked classes among the survivors of a pair of tiles, how many vectors each links to, and its root in a forest."""
+    ids, copies, tile = (table[c].to_numpy() for c in ("cid", "copies", "tile"))
+    x = _rows(table["embedding"], len(ids))
+    q, scale, error = quantised(_unit(x))
+    length = np.linalg.norm(x, axis=1)
+    one, two = table["a"][0].as_py(), table["b"][0].as_py()
+    left, right = np.flatnonzero(tile == one), np.flatnonzero(tile == two)
+    i, j = possible(q[left], scale[left], error[left], q[right], scale[right], error[right], threshold)
+    i, j = left[i], right[j]
+    if one == two:
+        i, j = i[i < j], j[i < j]
     sure = np.zeros(len(i), bool)
     for at in range(0, len(i), PAIRS):
         s = slice(at, at + PAIRS)
-        dots = np.einsum("ij,ij->i", a.x[i[s]], b.x[j[s]])
-        sure[s] = dots / (a.length[i[s]] * b.length[j[s]]) >= threshold
+        sure[s] = np.einsum("ij,ij->i", x[i[s]], x[j[s]]) / (length[i[s]] * length[j[s]]) >= threshold
     i, j = i[sure], j[sure]
-    n = len(a.ids)
-    same = row["a"] == row["b"]
-    other = j if same else j + n
-    ids = a.ids if same else np.concatenate([a.ids, b.ids])
-    copies = a.copies if same else np.concatenate([a.copies, b.copies])
-    links = np.bincount(i, copies[other], len(ids)) + np.bincount(other, copies[i], len(ids))
-    root = _forest(i, other, len(ids))
+    links = np.bincount(i, copies[j], len(ids)) + np.bincount(j, copies[i], len(ids))
     hit = np.flatnonzero(links)
-    return ids[hit], links[hit].astype(np.int64), ids[root[hit]]
+    arrays = [ids[hit], links[hit].astype(np.int64), ids[_forest(i, j, len(ids))[hit]]]
+    return pa.Table.from_arrays([pa.array(a, pa.int64()) for a in arrays], names=["cid", "links", "root"])
 
 
 def near_duplicates(
     vectors: DataFrame, key: str = "vec_id", embedding: str = "embedding", label: str = "label", threshold: float = THRESHOLD
 ) -> DataFrame:
-    """``key, n_links, component_id, kept`` for each row of ``vectors``.
+    """``key, n_links, component_id, kept`` for each row of ``vectors``; its other columns are not returned.
 
-    Vectors of one label (and length) whose cosine in double precision reaches ``threshold`` are linked. ``n_links``
-    counts the other rows linked directly, copies included; ``component_id`` is the smallest key reachable, ``kept``
-    whether that is the row's own. Rows with a null label, or with a null, zero or empty vector or one that holds null,
-    NaN or infinite components, link with nothing. Repeated rows count as copies of each other.
+    Vectors of one label (of any type that can be compared) and length whose cosine in double precision reaches
+    ``threshold`` are linked. ``n_links`` counts the other rows linked directly, copies included; ``component_id`` is the
+    smallest key reachable, ``kept`` whether that is the row's own. Rows with a null key or label, or with a null, zero
+    or empty vector or one that holds null, NaN or infinite components, link with nothing. Repeated rows count as copies
+    of each other, repeated keys with different vectors as different vectors. An empty table gives no rows.
     """
     v = F.col(embedding)
     sound = F.size(v).cast("boolean") & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     sound = sound & F.exists(v, lambda x: x != 0)
-    rows = vectors.select(F.col(key).cast("long").alias("id"), F.col(label).cast("long").alias("label"), v.alias("embedding"))
+    rows = vectors.select(F.col(key).cast("long").alias("id"), F.col(label).alias("label"), v.alias("embedding"))
     rows = rows.withColumn("sound", F.coalesce(sound & F.col("label").isNotNull() & F.col("id").isNotNull(), F.lit(False)))
     valid = rows.where("sound").select("id", "label", "embedding", F.xxhash64("embedding").alias("h"))
-    classes = written(
-        valid.groupBy("label", "h", "embedding").agg(F.min("id").alias("rep"), F.count("*").alias("copies")), "classes"
-    )
-    sized = classes.withColumn("dim", F.size("embedding"))
-    counts = sized.groupBy("label", "dim").agg(F.ceil(F.count("*") / F.lit(TILE)).cast("int").alias("tiles"))
-    tiled = sized.join(counts, ["label", "dim"]).withColumn("tile", F.pmod(F.xxhash64("rep"), F.col("tiles")).cast("int"))
-    kinds = "label long, dim int, tile int, tiles int, ids binary, copies binary, q binary, scale binary, error binary, vectors binary"
-    tiles = written(
-        tiled.select("label", "dim", "tile", "tiles", "rep", "copies", "embedding").groupBy("label", "dim", "tile").applyInArrow(_pack, kinds),
-        "tiles",
-    )
+    classes = valid.groupBy("label", "h", "embedding").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
+    classes = written(classes.select(F.monotonically_increasing_id().alias("cid"), "*", F.size("embedding").alias("dim")), "classes")
+    counts = classes.groupBy("label", "dim").agg(F.ceil(F.count("*") / F.lit(TILE)).cast("int").alias("tiles"))
+    tiled = classes.join(counts, ["label", "dim"]).withColumn("tile", F.pmod(F.xxhash64("cid"), F.col("tiles")).cast("int"))
+    kinds = tiled.select(*_TILE).schema
+    for name in _BLOBS:
+        kinds = kinds.add(name, "binary")
+    packed = tiled.select(*_TILE, "cid", "embedding").groupBy("label", "dim", "tile").applyInArrow(_pack, kinds)
+    tiles = written(packed, "tiles")
     pairs = tiles.select("label", "dim", F.col("tile").alias("a"), F.explode(F.sequence("tile", F.col("tiles") - 1)).alias("b"))
     for side in "ab":
         blobs = tiles.select("label", "dim", F.col("tile").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in _BLOBS])
@@ -142,20 +152,29 @@ def near_duplicates(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(batch.num_rows):
-                ids, links, roots = _compare(batch.slice(at, 1).to_pylist()[0], threshold)
-                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(links), pa.array(roots)], ["rep", "links", "root"])
-
-    found = written(pairs.mapInArrow(run, "rep long, links long, root long"), "links")
-    linked = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
-    totals = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    known = classes.join(totals, "rep", "left").join(linked.withColumnRenamed("node", "rep"), "rep", "left")
+                one = batch.slice(at, 1)
+                ids = pa.array(_survivors(one.select(["dim", "a", "b", *names]).to_pylist()[0], threshold))
+                again = pa.array(np.zeros(len(ids), np.int64))
+                yield pa.RecordBatch.from_arrays([*[one.column(c).take(again) for c in _PAIR], ids], [*_PAIR, "cid"])
+
+    names = [f"{c}_{side}" for c in _BLOBS for side in "ab"]
+    possible_ = written(pairs.mapInArrow(run, pairs.select(*_PAIR).schema.add("cid", "long")), "possible")
+    whole = tiled.select("cid", "copies", "tile", "embedding")
+    rest = possible_.join(whole, "cid").groupBy(*_PAIR)  # two tiles' vectors at most
+    found = written(rest.applyInArrow(lambda t: _compare(t, threshold), "cid long, links long, root long"), "links")
+    linked = components(found.select(F.col("cid").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "cid")
+    linked = written(classes.select("cid", "rep").join(linked, "cid"), "linked")
+    named = linked.groupBy("component").agg(F.min("rep").alias("component_id"))
+    named = linked.join(named, "component").select("cid", "component_id")
+    totals = found.groupBy("cid").agg(F.sum("links").alias("links"))
+    known = classes.join(totals, "cid", "left").join(named, "cid", "left")
     known = written(
         known.select(
             F.col("label").alias("l"),
             F.col("h").alias("k"),
             F.col("embedding").alias("e"),
             (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-            F.coalesce("component", "rep").alias("component_id"),
+            F.coalesce("component_id", "rep").alias("component_id"),
         ),
         "known",
     )
@@ -165,3 +184,6 @@ def near_duplicates(
     return out.union(rest).select(
         F.col("id").alias(key), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept")
     )
+
+
+_PAIR = ["label", "dim", "a", "b"]

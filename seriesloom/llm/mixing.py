@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from seriesloom.llm.common import WORD, others
+from seriesloom.llm.common import WORD, Aside
 
 #: Base weights, repeating over the sources in code-point order.
 WEIGHTS = (3, 1, 2)
@@ -96,7 +96,8 @@ def mix(
     ordered by size. Columns of the given names are replaced. No shuffle holds a source in one task: sums go over
     hash ranges of a source first.
     """
-    keep = others(docs, ADDED)
+    aside = Aside(docs)
+    docs, key, text, source, keep = aside.docs, aside[key], aside[text], aside[source], aside.kept(ADDED)
     digest = F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary"))
     sized = docs.select(
         *keep,
@@ -127,7 +128,7 @@ def mix(
     passes = F.sequence(F.lit(0), F.lit(max(0, int(-(-max_repeat // 1)) - 1)))
     at = lambda p: middle + p * F.col("source_size")
     used = F.filter(passes, lambda p: (F.col("size") > 0) & (at(p) < F.col("target")))
-    return placed.select(
+    out = placed.select(
         *keep,
         "size",
         "source_size",
@@ -135,6 +136,7 @@ def mix(
         (F.size(used) * F.col("size")).cast("long").alias("taken"),
         F.transform(used, lambda p: due_time(at(p) / F.col("target"), F.col("rank"), schedule)).alias("positions"),
     )
+    return aside.back(out, ADDED)
 
 
 def training_order(mixed: DataFrame, key: str = "doc_id") -> DataFrame:

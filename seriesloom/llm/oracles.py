@@ -83,6 +83,18 @@ SELECT d.doc_id, coalesce(n_words, 0) AS n_words, CAST(coalesce(n_removed, 0) AS
 FROM d LEFT JOIN s ON s.doc_id = d.doc_id
 """
 
+_times = [at for at, _ in mixing.SCHEDULE]
+
+
+def _half(i: int) -> float:
+    return (_times[i + 1] - _times[i]) / 2
+
+
+def _factor(i: int) -> str:
+    factors = mixing.SCHEDULE[i][1]
+    return f"CAST([{', '.join(map(str, factors))}][rk % {len(factors)} + 1] AS DOUBLE)"
+
+
 OP8 = f"""
 WITH d AS (
   SELECT doc_id, source, CAST(len({_WORDS}) AS BIGINT) AS size, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS ord
@@ -102,16 +114,30 @@ WITH d AS (
   SELECT *, first(CASE WHEN cap > level * w THEN level END IGNORE NULLS) OVER (
     ORDER BY cap / w, rk ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS final
   FROM l
-), t AS (SELECT source, source_size, CASE WHEN final IS NULL THEN cap ELSE least(cap, final * w) END AS target FROM f),
+), t AS (SELECT source, source_size, rk, CASE WHEN final IS NULL THEN cap ELSE least(cap, final * w) END AS target FROM f),
 p AS (
-  SELECT d.*, t.source_size, t.target,
+  SELECT d.*, t.source_size, t.target, t.rk,
     sum(size) OVER (PARTITION BY d.source ORDER BY ord, size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
       - size / 2.0 AS middle
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+),
+u AS (
+  SELECT *, CASE WHEN size = 0 THEN 0 ELSE CASE WHEN middle < target THEN 1 ELSE 0 END
+    + CASE WHEN middle + source_size < target THEN 1 ELSE 0 END END AS uses,
+    {_factor(0)} AS f0, {_factor(1)} AS f1, {_factor(2)} AS f2
+  FROM p
+), a AS (SELECT *, (f0 + f1) * {_half(0)} AS first_area, (f1 + f2) * {_half(1)} AS second_area FROM u),
+h AS (SELECT *, middle / target * (first_area + second_area) AS want FROM a WHERE uses > 0),
+due AS (
+  SELECT doc_id, size, CASE WHEN want <= first_area
+    THEN {_times[0]} + 2.0 * want / (f0 + sqrt(greatest(f0 * f0 + 2.0 * ((f1 - f0) / {2 * _half(0)}) * want, 0.0)))
+    ELSE {_times[1]} + 2.0 * (want - first_area) / (f1 + sqrt(greatest(f1 * f1 + 2.0 * ((f2 - f1) / {2 * _half(1)}) * (want - first_area), 0.0)))
+    END AS due
+  FROM h
 )
-SELECT doc_id, size, source_size, target, CAST(size * (
-  CASE WHEN middle < target THEN 1 ELSE 0 END + CASE WHEN middle + source_size < target THEN 1 ELSE 0 END) AS BIGINT) AS taken
-FROM p
+SELECT u.doc_id, u.size, source_size, target, CAST(u.size * uses AS BIGINT) AS taken, CAST(uses AS BIGINT) AS uses,
+  CASE WHEN due IS NOT NULL THEN round(least(greatest(due, 0.0), 1.0), 6) END AS first_position
+FROM u LEFT JOIN due ON due.doc_id = u.doc_id
 """
 
 

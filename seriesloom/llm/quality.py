@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesloom.llm.common import WordHashes, covered, others, repeated, repeats, rolled, slices
+from seriesloom.llm.common import Aside, WordHashes, covered, repeated, repeats, rolled, slices
 
 #: n-gram length -> largest share of word characters inside n-grams of that length that repeat.
 MAX_COVERAGE = {5: 0.15, 6: 0.14, 7: 0.13, 8: 0.12, 9: 0.11, 10: 0.10}
@@ -78,7 +78,8 @@ def with_signals(docs: DataFrame, text: str = "text", keep: Sequence[str] | None
     Null texts count as empty: no words, so ``base_failed``. Columns that already bear a signal's name are replaced;
     all others pass through untouched. Ties cannot arise: every row is judged by itself.
     """
-    keep = others(docs, SIGNALS, keep)
+    aside = Aside(docs)
+    docs, text, keep = aside.docs, aside[text], aside.kept(SIGNALS, keep)
     schema = docs.select(*keep).schema
     for name in LONGS:
         schema = schema.add(name, "long")
@@ -96,7 +97,7 @@ def with_signals(docs: DataFrame, text: str = "text", keep: Sequence[str] | None
             found = [pa.array(values, kind) for values, kind in zip(zip(*rows, strict=True), kinds, strict=True)]
             yield pa.RecordBatch.from_arrays([*columns, *found], [*keep, *SIGNALS])
 
-    return docs.select(*keep, F.col(text).cast("binary").alias("_data")).mapInArrow(run, schema)
+    return aside.back(docs.select(*keep, F.col(text).cast("binary").alias("_data")).mapInArrow(run, schema), SIGNALS)
 
 
 def passing(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -104,7 +105,5 @@ def passing(docs: DataFrame, text: str = "text") -> DataFrame:
 
     A column of ``docs`` that bears a signal's name is not judged or lost: it is set aside under another name.
     """
-    renamed = {c: f"_own_{i}" for i, c in enumerate(docs.columns)}
-    aside = docs.withColumnsRenamed(renamed)
-    kept = with_signals(aside, renamed[next(c for c in docs.columns if c.lower() == text.lower())]).where("kept")
-    return kept.select(*[F.col(f"_own_{i}").alias(c) for i, c in enumerate(docs.columns)])
+    aside = Aside(docs)
+    return aside.back(with_signals(aside.docs, aside[text]).where("kept"))

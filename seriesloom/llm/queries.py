@@ -18,7 +18,7 @@ from seriesloom.llm import (
     token_output,
     warc,
 )
-from seriesloom.llm.common import new_path
+from seriesloom.llm.common import new_path, written
 from seriesloom.llm.oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -81,7 +81,8 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
         F.lit(said).alias("text"),
     )
-    formatted = chat.format_log(chat.events_of_turns(turns.union(added)))
+    log = chat.streamed(chat.events_of_turns(turns.union(added)))
+    formatted = written(chat.format_log(log), "chat")
     read = chat.parse(formatted)
     sizes = formatted.select(F.col("conv_id").alias("c"), F.length("formatted").cast("long").alias("formatted_chars"))
     turn = F.concat("role", F.lit("\n"), "text", F.lit("\n"))
@@ -109,7 +110,10 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+    mixed = mixing.mix(docs).withColumn("uses", F.size("positions").cast("long"))
+    first = F.round(F.try_element_at("positions", F.lit(1)), 6).alias("first_position")
+    rows = mixed.select("doc_id", "size", "source_size", "target", "taken", "uses", first)
+    return rows.orderBy(F.col("first_position").asc_nulls_last(), "doc_id")
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesloom.llm.common import WordHashes, components, mixed, others, rolled, slices, written
+from seriesloom.llm.common import Aside, WordHashes, components, mixed, rolled, slices, written
 
 MAX_BITS = 2
 MIN_SHARED_BYTES = 8 - MAX_BITS
@@ -64,7 +64,8 @@ def with_fingerprint(
 
     A column of the same name is replaced.
     """
-    keep = others(docs, [out], keep)
+    aside = Aside(docs)
+    docs, text, keep = aside.docs, aside[text], aside.kept([out], keep)
     schema = docs.select(*keep).schema.add(out, "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -74,7 +75,7 @@ def with_fingerprint(
             columns = [batch.column(i) for i in range(batch.num_columns) if i != at]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(values.view(np.int64))], [*keep, out])
 
-    return docs.select(*keep, F.col(text).cast("binary").alias("_data")).mapInArrow(run, schema)
+    return aside.back(docs.select(*keep, F.col(text).cast("binary").alias("_data")).mapInArrow(run, schema), [out])
 
 
 def _byte(column: str, i: int):
@@ -141,7 +142,8 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     If several rows share that smallest key, they are that one document and one of them stays. Rows without a key
     cannot be named and all stay.
     """
-    return _leaders(docs, groups(docs, key, text), key)
+    aside = Aside(docs)
+    return aside.back(_leaders(aside.docs, groups(aside.docs, aside[key], aside[text]), aside[key]))
 
 
 def _leaders(docs: DataFrame, found: DataFrame, key: str) -> DataFrame:
@@ -255,4 +257,5 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 def deduplicate_similar(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows of ``docs`` that stay: of each group of similar texts the row with the smallest key, as in ``deduplicate``."""
-    return _leaders(docs, similar_groups(docs, key, text), key)
+    aside = Aside(docs)
+    return aside.back(_leaders(aside.docs, similar_groups(aside.docs, aside[key], aside[text]), aside[key]))

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seriesloom.llm.common import ROLL, WordHashes, mixed, others, rolled, slices, written
+from seriesloom.llm.common import ROLL, Aside, WordHashes, mixed, rolled, slices, written
 
 WINDOW = 35
 ANCHOR = 8
@@ -150,9 +150,10 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     Columns with the names produced are replaced; every input row stays.
     """
     produced = ["n_words", "n_removed", "kept", "removed_spans"]
+    aside = Aside(docs)
+    docs, key, text, keep = aside.docs, aside[key], aside[text], aside.kept(produced)
     spans = repeated_windows(docs, key, text).groupBy("doc", "tag").agg(F.collect_list("span").alias("spans"))  # a document's
     spans = written(spans, "spans")
-    keep = others(docs, produced)
     rows = docs.select(*keep, F.col(key).cast("long").alias("_d"), F.xxhash64(text).alias("_g"), F.col(text).cast("binary").alias("_t"))
     rows = rows.join(spans, F.col("_d").eqNullSafe(F.col("doc")) & (F.col("_g") == F.col("tag")), "left")
     rows = rows.select(*keep, "_t", F.col("spans").alias("_spans"))
@@ -189,4 +190,4 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
             arrays = [*columns, pa.array(n_words), pa.array(n_removed), pa.array(kept, pa.string()), pa.array(removed, kind)]
             yield pa.RecordBatch.from_arrays(arrays, [*keep, *produced])
 
-    return rows.mapInArrow(run, schema)
+    return aside.back(rows.mapInArrow(run, schema), produced)
