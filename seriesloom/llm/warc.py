@@ -8,8 +8,8 @@ empty member, which ends so too).
 The reader lets Spark cut files into byte ranges and each task scan its own for the gzip magic; a record belongs to the
 range in which its magic starts, and the task reads on to the record's end. Magic also occurs inside compressed data by
 chance, so a candidate counts only if a gzip header and the start of a WARC record decode from it; the rest is put back
-onto the member it was cut from, also if that began in another range. File names must not end in ``.gz``, since
-Spark's text source would decompress the whole file in one task then.
+onto the member it was cut from, also if that began in another range. Archives named ``.gz`` are read as the bytes they
+are too; Hadoop does not cut files of that name, so each of them is streamed by one task.
 """
 
 from __future__ import annotations
@@ -76,8 +76,10 @@ def write(pages: DataFrame, path: str, key: str = "page_id", uri: str = "url", b
     """One record per row of ``pages`` in WARC files under ``path``.
 
     Of rows with equal payloads of ``MIN_REVISIT_BYTES`` or more, the one with the largest key is a response and the
-    others are revisits of it (rows that repeat that key are responses too). Null bodies are empty payloads. ``date``
-    is the capture date of all records, so that equal input gives equal archives.
+    others are revisits of it (rows that repeat that key are responses too). Null bodies are empty payloads, null keys
+    records without a number. Other columns are not written, whatever their names; an empty table gives an empty folder.
+    Payloads may have any length a Spark value can have. ``date`` is the capture date of all records, so that equal input
+    gives equal archives.
     """
     data = F.coalesce(F.col(body).cast("binary"), F.lit(b"").cast("binary"))
     rows = pages.select(F.col(key).cast("long").alias("key"), F.col(uri).cast("string").alias("uri"), data.alias("payload"))
@@ -110,14 +112,24 @@ def _starts(piece: bytes) -> bool:
     return head == b"WARC/" or (len(piece) < 64 and b"WARC/".startswith(head))
 
 
+class _Damaged(bytes):
+    """A member that does not decode."""
+
+
 def _decoded(pieces: list[bytes]) -> bytes | None:
     """The member's content, or None if it goes on."""
     d = zlib.decompressobj(31)
-    data = d.decompress(b"".join(pieces))
+    raw = b"".join(pieces)
+    try:
+        data = d.decompress(raw)
+    except zlib.error:
+        return _Damaged(raw)
     return data if d.eof else None
 
 
-_FIELDS = ("record_id", "record_type", "target_uri", "payload_digest", "payload_length", "refers_to", "payload")
+_FIELDS = (
+    "record_id", "record_uri", "record_type", "target_uri", "payload_digest", "payload_length", "refers_to", "refers_to_uri", "payload",
+)
 
 
 def _number(value: str | None) -> int | None:
@@ -125,29 +137,69 @@ def _number(value: str | None) -> int | None:
     return int(found[1]) if found else None
 
 
+def _hex(digest: str) -> str | None:
+    """A SHA-1 digest in base 32 or hexadecimal as lower-case hexadecimal; null if it is neither."""
+    name, _, value = digest.partition(":")
+    if name.lower() != "sha1":
+        return None
+    if re.fullmatch("[0-9A-Fa-f]{40}", value):
+        return value.lower()
+    return base64.b32decode(value.upper()).hex() if re.fullmatch("[2-7A-Za-z]{32}", value) else None
+
+
+def _whole_number(value: str | None, other: int) -> int:
+    return int(value) if re.fullmatch("[0-9]+", value or "") else other
+
+
+def _body(block: bytes) -> bytes:
+    """The body of an HTTP response, its chunks joined and its gzip or deflate coding undone as far as it goes."""
+    head, _, body = block.partition(b"\r\n\r\n")
+    fields = {name.strip().lower(): value.strip().lower() for name, _, value in (x.partition(b":") for x in head.split(b"\r\n")[1:])}
+    if fields.get(b"transfer-encoding") == b"chunked":
+        parts, at = [], 0
+        while (end := body.find(b"\r\n", at)) >= 0 and re.fullmatch(b"[0-9A-Fa-f]+", body[at:end].split(b";")[0].strip()):
+            size = int(body[at:end].split(b";")[0], 16)
+            if not size:
+                break
+            parts.append(body[end + 2 : end + 2 + size])
+            at = end + 4 + size
+        body = b"".join(parts) if parts or at or body.startswith(b"0") else body
+    if fields.get(b"content-encoding") in (b"gzip", b"x-gzip", b"deflate"):
+        for window in (47, -15):
+            try:
+                return zlib.decompressobj(window).decompress(body)
+            except zlib.error:
+                continue
+    return body
+
+
 def parsed(data: bytes) -> tuple:
-    """The fields of one decoded record."""
+    """The fields of one decoded record; a member that does not decode has the type ``damaged`` and its own length."""
+    if isinstance(data, _Damaged):
+        return None, None, "damaged", None, None, len(data), None, None, None
     head, _, rest = data.partition(b"\r\n\r\n")
     fields = {}
     for line in head.decode("utf-8", "replace").split("\r\n")[1:]:
         name, _, value = line.partition(":")
         fields[name.strip().lower()] = value.strip()
-    block = rest[: int(fields.get("content-length", len(rest)))]
+    block = rest[: _whole_number(fields.get("content-length"), len(rest))]
     payload = block
     if "application/http" in fields.get("content-type", ""):
-        payload = block.partition(b"\r\n\r\n")[2]
+        payload = _body(block)
     kind = fields.get("warc-type")
-    digest = fields.get("warc-payload-digest", "")
-    hexed = base64.b32decode(digest[5:]).hex() if digest.startswith("sha1:") else None
-    length = int(fields["warc-payload-length"]) if "warc-payload-length" in fields else len(payload)
+    length = _whole_number(fields.get("warc-payload-length"), len(payload))
+    own, other = fields.get("warc-record-id"), fields.get("warc-refers-to")
     return (
-        _number(fields.get("warc-record-id")), kind, fields.get("warc-target-uri"), hexed, length,
-        _number(fields.get("warc-refers-to")), payload if kind != "revisit" else None,
+        _number(own), own, kind, fields.get("warc-target-uri"), _hex(fields.get("warc-payload-digest", "")), length,
+        _number(other), other, payload if kind != "revisit" else None,
     )
 
 
-_KINDS = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.binary()]
-_SCHEMA = "record_id long, record_type string, target_uri string, payload_digest string, payload_length long, refers_to long, payload binary"
+_KINDS = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
+_SCHEMA = (
+    "record_id long, record_uri string, record_type string, target_uri string, payload_digest string, payload_length long, "
+    "refers_to long, refers_to_uri string, payload binary"
+)
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -159,6 +211,8 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 def _pieces(spark: SparkSession, path: str) -> DataFrame:
     """What lies between gzip magics, a row each, in file order within each byte range."""
     source = spark.read.option("encoding", "ISO-8859-1").option("lineSep", MAGIC.decode("latin-1"))
+    passing = spark._jvm.org.apache.hadoop.io.compress.PassthroughCodec  # hands the bytes on as they are
+    source = source.option("io.compression.codecs", passing.CLASSNAME).option(passing.OPT_EXTENSION, ".gz")
     return source.text(path).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("range"), F.col("value").cast("binary").alias("piece")
     )
@@ -196,7 +250,13 @@ def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[str, int
 
 def read(spark: SparkSession, path: str) -> DataFrame:
     """The records of the WARC files under ``path``: ids, type, URI, payload digest (lower-case hex) and length as the
-    headers give them, what a revisit refers to, and the payload (null for revisits). Tasks read byte ranges."""
+    headers give them, what a revisit refers to, and the payload (null for revisits). Tasks read byte ranges.
+
+    ``record_id`` and ``refers_to`` are the numbers that ``write`` gives; the ``uri`` columns have any archive's ids as
+    they stand. Chunked and compressed HTTP bodies are undone. A member that does not decode gives a row of the type
+    ``damaged`` with its length and nothing else, and the rest is read on; a header that is missing or malformed is null.
+    A folder without records gives no rows.
+    """
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, size = [], 0
@@ -221,12 +281,15 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     def joined(table: pa.Table) -> pa.Table:
         rows, held = [], b""
         for row in table.sort_by([("range", "ascending"), ("order", "ascending")]).to_pylist():
-            held = row["part"] if _starts(row["part"]) else held + row["part"]
+            if held and _starts(row["part"]):
+                rows.append(parsed(_Damaged(held)))  # another member begins before this one ends
+                held = b""
+            held += row["part"]
             if (data := _decoded([held])) is not None:
                 rows.append(parsed(data))
                 held = b""
         if held:
-            raise ValueError(f"{table['file'][0]} ends inside a member")
+            rows.append(parsed(_Damaged(held)))  # the file ends inside a member
         return pa.Table.from_batches([_batch(rows)]) if rows else pa.Table.from_batches([], _batch_schema())
 
     # Members cut by a chance magic at a range's edge: next to none, so a file's are few.

@@ -112,3 +112,103 @@ def bpe(data: bytes, ranks: dict[tuple[bytes, bytes], int]) -> list[bytes]:
             return parts
         i = best[1]
         parts[i : i + 2] = [parts[i] + parts[i + 1]]
+
+
+def normalised(line: str) -> str:
+    kept = "".join(c if ord(c) >= 128 or c.isalnum() else " " for c in line.lower())
+    return " ".join(words(kept))
+
+
+def at_most(a: str, b: str, most: int) -> bool:
+    """Whether the edit distance is at most ``most``, by the textbook table, a row at a time."""
+    x, y = (np.frombuffer(z.encode("utf-32-le"), np.uint32) for z in (a, b))
+    steps = np.arange(len(y) + 1)
+    row = steps.copy()
+    for i, c in enumerate(x, 1):
+        new = np.r_[i, np.minimum(row[1:] + 1, row[:-1] + (y != c))]
+        row = np.minimum.accumulate(new - steps) + steps
+        if row.min() > most:
+            return False
+    return bool(row[-1] <= most)
+
+
+def similar_lines(docs: list[tuple[int, str | None]], similarity: float = 0.8) -> tuple[set[tuple[int, int]], list]:
+    """(id, line number) of the lines that go, and the links, by nothing but the edit similarity in code points.
+
+    Pairs that cannot reach it are passed over by their counts of three-character runs, of which an edit takes and adds three.
+    """
+    uses = [(i, n, normalised(line)) for i, body in sorted(docs) for n, line in enumerate((body or "").split("\n"))]
+    uses = [u for u in uses if u[2]]
+    place = {}
+    for i, n, norm in uses:
+        place.setdefault(norm, (i, n))
+    names = sorted(place, key=len)
+    bins = np.zeros((len(names), 512), np.int32)
+    for row, x in zip(bins, names, strict=True):
+        for k in range(len(x) - 2):
+            row[hash(x[k : k + 3]) % 512] += 1
+    size = np.array([len(x) for x in names])
+    edges = []
+    for b, y in enumerate(names):
+        most = int((1 - similarity) * len(y) + 1e-9)
+        low = int(np.searchsorted(size[:b], len(y) - most))
+        near = np.flatnonzero(np.abs(bins[low:b] - bins[b]).sum(axis=1) <= 6 * most) + low
+        edges += [(names[a], y) for a in near if at_most(names[a], y, most)]
+    root = components(names, edges)
+    first = {}
+    for norm in names:
+        r = root[norm]
+        first[r] = min(first.get(r, place[norm]), place[norm])
+    return {(i, n) for i, n, norm in uses if first[root[norm]] != (i, n)}, edges
+
+
+def quality_keeps(text: str | None) -> bool:
+    """The quality rules, from their description."""
+    text = text or ""
+    ws = words(text)
+    n, chars = len(ws), sum(map(len, ws))
+    if n < 50:
+        return False
+
+    def inside(width: int, first_too: bool) -> set[int]:
+        seen, out = defaultdict(list), set()
+        for i in range(n - width + 1):
+            seen[tuple(ws[i : i + width])].append(i)
+        for starts in seen.values():
+            if len(starts) > 1:
+                for i in starts if first_too else starts[1:]:
+                    out.update(range(i, i + width))
+        return out
+
+    if 100 * len(inside(3, True)) > 50 * n:
+        return False
+    for width, most in {5: 0.15, 6: 0.14, 7: 0.13, 8: 0.12, 9: 0.11, 10: 0.10}.items():
+        if sum(len(ws[i]) for i in inside(width, False)) / chars > most:
+            return False
+    lines = [x for x in text.split("\n") if words(x)]
+    seen, again = set(), []
+    for x in lines:
+        if x in seen:
+            again.append(x)
+        seen.add(x)
+    if len(again) >= 2 and len(again) / len(lines) > 0.30:
+        return False
+    return sum(len(x.encode()) for x in again) / sum(len(x.encode()) for x in lines) <= 0.20
+
+
+def similar_texts(docs: list[tuple[int, str]], width: int = 5) -> dict[int, int]:
+    """id -> smallest id reachable by a Jaccard similarity of 0.8 of the sets of five-word shingles."""
+    sets = {}
+    for i, text in docs:
+        ws = words("".join(c.lower() if "A" <= c <= "Z" else c for c in text))
+        size = min(width, len(ws))
+        sets[i] = {tuple(ws[k : k + size]) for k in range(len(ws) - size + 1)} if ws else set()
+    ids = sorted(sets)
+    edges = []
+    for n, a in enumerate(ids):
+        for b in ids[:n]:
+            p, q = sets[a], sets[b]
+            common = len(p & q)
+            if 5 * common >= 4 * (len(p) + len(q) - common):
+                edges.append((a, b))
+    return components(ids, edges)

@@ -119,61 +119,6 @@ def test_majorities():
     assert common.majorities(hashes, counts).tolist() == want
 
 
-def brute_lines(docs, similarity=line_dedup.MIN_SIMILARITY) -> set[tuple[int, int]]:
-    """(id, line number) of the lines that go."""
-    hashes = common.WordHashes()
-    place, text, sim = {}, {}, {}
-    uses = []
-    for i, body in sorted(docs):
-        for n, ws in enumerate(line_dedup.words_of_lines(body or "")):
-            if ws:
-                norm = b" ".join(ws).decode()
-                uses.append((i, n, norm))
-                if norm not in place:
-                    place[norm] = (i, n)
-                    sim[norm] = int(common.majorities(hashes.of(ws), np.array([len(ws)]))[0])
-    names = sorted(place, key=place.get)
-    edges = []
-    for a in range(len(names)):
-        for b in range(a):
-            x, y = names[a], names[b]
-            if (sim[x] ^ sim[y]).bit_count() <= line_dedup.MAX_BITS and brute.edit_distance(x.split(), y.split()) <= (1 - similarity) * max(len(x.split()), len(y.split())) + 1e-9:
-                edges.append((b, a))
-    root = brute.components(range(len(names)), edges)
-    first = {names[i]: place[names[r]] for i, r in root.items()}
-    return {(i, n) for i, n, norm in uses if first[norm] != (i, n)}
-
-
-@settings(max_examples=200, deadline=None)
-@given(st.lists(st.sampled_from("abc"), max_size=40), st.lists(st.sampled_from("abc"), max_size=40))
-def test_edit_distance(x, y):
-    assert line_dedup.edit_distance(x, y) == brute.edit_distance(x, y)
-
-
-@pytest.mark.parametrize("rows", [3, 256])
-def test_lines_equal_brute_force(spark, make, monkeypatch, rows):
-    monkeypatch.setattr(line_dedup, "LIST_ROWS", rows)
-    rnd = random.Random(7)
-    vocabulary = [f"word{i}" for i in range(400)]
-    lines = [" ".join(rnd.choice(vocabulary) for _ in range(rnd.randint(1, 90))) for _ in range(60)]
-    for base in lines[:25]:
-        ws = base.split()
-        for _ in range(3):
-            own = list(ws)
-            own[rnd.randrange(len(own))] = rnd.choice(vocabulary)
-            lines.append(" ".join(own) + rnd.choice(["", ".", "!!"]))
-    docs = [(i, "\n".join(rnd.choice([*lines, "", "---"]) for _ in range(rnd.randint(0, 8)))) for i in range(60)]
-    found = line_dedup.deduplicate(make(docs)).collect()
-    gone = brute_lines(docs)
-    assert gone
-    for r in found:
-        body = dict(docs)[r["doc_id"]]
-        want = [x for n, x in enumerate(body.split("\n")) if (r["doc_id"], n) not in gone]
-        assert r["text"].split("\n") == want or (not want and r["text"] == "")
-        assert r["n_removed"] == sum(i == r["doc_id"] for i, _ in gone)
-        assert r["n_lines"] == len(body.split("\n"))
-
-
 def test_line_edges(make, edge):
     docs = make(edge + [(3, "one")]).withColumn("n_removed", F.lit("own"))
     out = line_dedup.deduplicate(docs)

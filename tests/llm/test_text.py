@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import gzip
 import hashlib
 import random
 import zlib
@@ -297,3 +298,35 @@ def test_warc_of_nothing(spark):
     path = new_path(spark, "warc")
     warc.write(spark.createDataFrame([], "page_id long, url string, html string"), path)
     assert warc.read(spark, path).count() == 0
+
+
+def test_warc_reads_archives_of_others(spark, tmp_path):
+    """A .warc.gz as other tools write it: own ids, chunked and compressed bodies, a damaged and a cut-off member."""
+
+    def record(name: str, http: bytes, kind: str = "response", more: str = "") -> bytes:
+        head = f"WARC/1.0\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <urn:uuid:{name}>\r\n{more}"
+        head += f"Content-Type: application/http; msgtype=response\r\nContent-Length: {len(http)}\r\n\r\n"
+        return gzip.compress(head.encode() + http + b"\r\n\r\n")
+
+    plain = b"HTTP/1.1 200 OK\r\nX: y\r\n\r\nhello"
+    chunked = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\nContent-Encoding: gzip\r\n\r\n"
+    packed = gzip.compress(b"zipped body " * 50)
+    chunked += b"%x\r\n%s\r\n%x;a=b\r\n%s\r\n0\r\n\r\n" % (10, packed[:10], len(packed) - 10, packed[10:])
+    bad = bytearray(record("bad", b"HTTP/1.1 200 OK\r\n\r\n" + bytes(range(256)) * 40))
+    bad[-5] ^= 255
+    whole = [record("a", plain, more="WARC-Payload-Digest: sha1:zzz\r\n"), bytes(bad), record("b", chunked), record("c", b"", "revisit", "WARC-Refers-To: <urn:uuid:a>\r\n")]
+    (tmp_path / "x.warc.gz").write_bytes(b"".join(whole) + record("d", plain)[:60])
+    rows = warc.read(spark, str(tmp_path)).collect()
+    found = {r["record_uri"]: r for r in rows if r["record_type"] != "damaged"}
+    assert {k: v["payload"] for k, v in found.items()} == {"<urn:uuid:a>": b"hello", "<urn:uuid:b>": b"zipped body " * 50, "<urn:uuid:c>": None}
+    assert found["<urn:uuid:c>"]["refers_to_uri"] == "<urn:uuid:a>" and found["<urn:uuid:a>"]["payload_digest"] is None
+    assert [r["record_type"] for r in rows].count("damaged") == 2
+
+
+def test_warc_large_payloads_and_null_keys(spark):
+    noise = np.random.default_rng(1).integers(33, 126, 17 << 20, dtype=np.uint8).tobytes().decode()
+    df = spark.createDataFrame([(1, "u", noise), (None, "u", "x"), (2, None, noise)], "page_id long, url string, html string")
+    path = new_path(spark, "warc")
+    warc.write(df, path)
+    found = {r["record_id"]: r for r in warc.read(spark, path).collect()}
+    assert found[2]["payload"] == noise.encode() and found[1]["refers_to"] == 2 and found[None]["payload"] == b"x"
