@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import xxhash
@@ -119,9 +119,10 @@ def normalised(line: str) -> str:
     return " ".join(words(kept))
 
 
-def at_most(a: str, b: str, most: int) -> bool:
+def at_most(a, b, most: int) -> bool:
     """Whether the edit distance is at most ``most``, by the textbook table, a row at a time."""
-    x, y = (np.frombuffer(z.encode("utf-32-le"), np.uint32) for z in (a, b))
+    number: dict = {}
+    x, y = (np.array([number.setdefault(c, len(number)) for c in z]) for z in (a, b))
     steps = np.arange(len(y) + 1)
     row = steps.copy()
     for i, c in enumerate(x, 1):
@@ -153,7 +154,18 @@ def similar_lines(docs: list[tuple[int, str | None]], similarity: float = 0.8) -
         most = int((1 - similarity) * len(y) + 1e-9)
         low = int(np.searchsorted(size[:b], len(y) - most))
         near = np.flatnonzero(np.abs(bins[low:b] - bins[b]).sum(axis=1) <= 6 * most) + low
-        edges += [(names[a], y) for a in near if at_most(names[a], y, most)]
+        for a in near:
+            x = names[a]
+            if len(y) > 60:  # long lines of one language have like counts; edits that spare four of five characters spare words
+                p, q = Counter(x.split()), Counter(y.split())
+                if 2 * (p & q).total() < max(p.total(), q.total()):
+                    continue
+            if len(y) > 4096:  # by definition these are compared by words
+                p, q = x.split(), y.split()
+                if at_most(p, q, int((1 - similarity) * max(len(p), len(q)) + 1e-9)):
+                    edges.append((x, y))
+            elif at_most(x, y, most):
+                edges.append((x, y))
     root = components(names, edges)
     first = {}
     for norm in names:
