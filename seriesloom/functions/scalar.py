@@ -20,13 +20,13 @@ CALENDAR = {
 def lenient_date(column: str, mode: str = "wall_clock") -> Column:
     """The date of a timestamp or text; what cannot be read is null.
 
-    ``wall_clock`` takes the date as written and drops an offset; ``utc`` moves to UTC first (the session's time zone
-    must be UTC for that).
+    ``wall_clock`` takes the date as written and drops an offset; ``utc`` moves to UTC first, whatever the
+    session's time zone.
     """
     if mode == "wall_clock":
         return F.to_date(F.col(column).try_cast("timestamp_ntz"))
     if mode == "utc":
-        return F.to_date(F.col(column).try_cast("timestamp"))
+        return F.to_date(F.to_utc_timestamp(F.col(column).try_cast("timestamp"), F.current_timezone()))
     raise ValueError(f"unknown date mode {mode}")
 
 

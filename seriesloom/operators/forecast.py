@@ -5,19 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seriesloom.functions.scalar import half_even
-from seriesloom.learners import linear, pooled
-from seriesloom.learners.trees import Booster, LearnerSpec
+from seriesloom.learners import linear, pooled, squares
 from seriesloom.operators import frames
 from seriesloom.operators.schema import FEATURES, FEATURES_WITH_PRICE
 
-MODEL = "series_id string, features array<string>, params string, train_rows long, holdout_rmse double, best_round int, importance array<double>, status string, error string"
-
 
 def direct_linear(feat: DataFrame, as_of: str | date, horizon: int, key: str = "series_id", anchor: str = "as_of") -> DataFrame:
     """``key, step, date, prediction_raw, prediction`` from one line per series and step on ``lag_1``."""
@@ -38,60 +33,57 @@ def holdout_linear(feat: DataFrame, key: str = "series_id", months: int = 1) ->
     return test.join(lines, key).select(key, "date", linear.value().alias("prediction"))
 
 
-def _matrix(rows: pd.DataFrame, features: Sequence[str]) -> np.ndarray:
-    return rows[list(features)].to_numpy(dtype=float, na_value=np.nan)
+def _known(features: Sequence[str]) -> Column:
+    return F.array(*[F.col(f).cast("double") for f in features])
+
+
+def _fitted(features: Sequence[str]) -> Column:
+    return squares.value(_known(features), F.col("mean"), F.col("center"), F.col("coef"))
+
+
+def _item(feat: DataFrame, key: str) -> DataFrame:
+    """Each series with its newest item."""
+    item = F.max_by("item_ref", "date") if "item_ref" in feat.columns else F.lit(None).cast("string")
+    return feat.groupBy(key).agg(F.max("date").alias("last_date"), item.alias("item_ref"))
+
+
+def _told(rows: DataFrame, key: str, sound: Column) -> DataFrame:
+    """Sound rows; of a series that has none, one row that says so."""
+    keep = rows.where(sound | (F.col("step") == 1))
+    only = lambda c: F.when(sound, F.col(c)).alias(c)
+    status = F.when(sound, "ok").otherwise("failed").alias("status")
+    error = F.when(~sound, F.lit("no training rows")).alias("error")
+    return keep.select(only("date"), only("prediction"), F.col(key).cast("string").alias(key), "item_ref", only("step"), status, error)
 
 
 def direct(
-    feat: DataFrame,
-    as_of: str | date,
-    horizon: int,
-    spec: LearnerSpec = LearnerSpec(),
-    key: str = "series_id",
-    features: Sequence[str] = FEATURES,
-    anchor: str = "as_of",
-    step_block: int | None = None,
+    feat: DataFrame, as_of: str | date, horizon: int, key: str = "series_id", features: Sequence[str] = FEATURES, anchor: str = "as_of"
 ) -> DataFrame:
-    """``date, prediction, key, item_ref, step, status, error``: boosted trees for each series and step.
+    """``date, prediction, key, item_ref, step, status, error``: least squares for each series and step.
 
-    A group is a series and ``step_block`` steps (all by default); smaller blocks spread few long series over more
-    tasks. A group that fails gives one row with its error and leaves the others alone.
+    A series without training rows gives one row with its error and leaves the others alone.
     """
-    block = step_block or horizon
-    blocks = F.explode(F.sequence(F.lit(0), F.lit((horizon - 1) // block))).alias("block")
-    item = F.col("item_ref") if "item_ref" in feat.columns else F.lit(None).cast("string")
-    rows = feat.select(F.col(key).cast("string").alias("k"), item.alias("item_ref"), "date", "quant", *features, blocks)
-    start = pd.Timestamp(as_of)
-
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("date", ignore_index=True)
-        first = int(group["block"].iloc[0]) * block
-        steps = np.arange(first + 1, min(first + block, horizon) + 1)
-        name, ref = group["k"].iloc[0], group["item_ref"].iloc[0]
-        try:
-            x, q = _matrix(group, features), group["quant"].to_numpy(float)
-            n = len(q) - horizon
-            if n <= 0:
-                raise ValueError("no training rows")
-            y = np.stack([q[s : s + n] for s in steps], axis=1)
-            value = np.rint(Booster(spec).fit(x[:n], y).predict(x[-1:])[0]).astype(np.int64)
-            origin = start if anchor == "as_of" else pd.Timestamp(group["date"].iloc[-1])
-            days = [(origin + pd.Timedelta(days=int(s))).date() for s in steps]
-            return pd.DataFrame({"date": days, "prediction": value, "k": name, "item_ref": ref, "step": steps, "status": "ok", "error": None})
-        except Exception as e:  # one series must not stop the others
-            return pd.DataFrame({"date": [None], "prediction": [None], "k": name, "item_ref": ref, "step": [None], "status": "failed", "error": str(e)})
-
-    out = rows.groupBy("k", "block").applyInPandas(
-        run, "date date, prediction long, k string, item_ref string, step int, status string, error string"
-    )
-    return out.withColumnRenamed("k", key)
+    models = squares.fit(frames.direct_frame(feat, key, horizon, features, long=True), [key, "step"], features)
+    days = frames.future_calendar(_item(feat, key), key, as_of, horizon, anchor)
+    last = frames.last_features(feat, key, features).drop("date").join(_item(feat, key), key)
+    rows = days.join(last, key).join(models, [key, "step"], "left")
+    return _told(rows.withColumn("prediction", half_even(_fitted(features))), key, F.col("mean").isNotNull())
+
+
+#: What a recursive forecast knows about a day: the last values and the day itself.
+STATE = {
+    "lag_1": lambda tail, day: tail[2],
+    "rolling_mean_3": lambda tail, day: (tail[0] + tail[1] + tail[2]) / 3,
+    "day_of_week": lambda tail, day: F.weekday(day),
+    "day_of_month": lambda tail, day: F.dayofmonth(day),
+    "month": lambda tail, day: F.month(day),
+}
 
 
 def recursive(
     feat: DataFrame,
     as_of: str | date,
     horizon: int,
-    spec: LearnerSpec = LearnerSpec(early_stop=50),
     key: str = "series_id",
     months: int = 1,
     features: Sequence[str] = ("lag_1", "rolling_mean_3", "day_of_week", "day_of_month"),
@@ -99,91 +91,59 @@ def recursive(
     """``date, prediction, key, item_ref, step, status, error``: one model per series, fed with its own predictions.
 
     ``rolling_mean_3`` should be built with ``include_current=False``, since the mean at a forecast day cannot hold that
-    day. The state is the last three values of the series.
-    """
-    split = frames.holdout_split(feat, key, months)
-    item = F.col("item_ref") if "item_ref" in feat.columns else F.lit(None).cast("string")
-    rows = split.select(F.col(key).cast("string").alias("k"), item.alias("item_ref"), "date", "quant", "split", *features)
-    start = pd.Timestamp(as_of)
-
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("date", ignore_index=True)
-        name, ref = group["k"].iloc[0], group["item_ref"].iloc[0]
-        try:
-            train, test = group[group["split"] == "train"], group[group["split"] == "test"]
-            if not len(train):
-                raise ValueError("no training rows")
-            valid = (_matrix(test, features), test["quant"].to_numpy(float))
-            model = Booster(spec).fit(_matrix(train, features), train["quant"].to_numpy(float), valid)
-            values = group["quant"].tolist()
-            tail = values[-3:] if len(values) >= 3 else [values[-1]] * 3
-            out = []
-            for step in range(1, horizon + 1):
-                day = start + pd.Timedelta(days=step)
-                known = {"lag_1": tail[-1], "rolling_mean_3": sum(tail) / 3, "day_of_week": day.dayofweek, "day_of_month": day.day, "month": day.month}
-                value = float(np.rint(model.predict(np.array([[known[f] for f in features]], float))[0, 0]))
-                tail = [*tail[1:], value]
-                out.append((day.date(), int(value), name, ref, step, "ok", None))
-        except Exception as e:  # one series must not stop the others
-            out = [(None, None, name, ref, None, "failed", str(e))]
-        return pd.DataFrame(out, columns=["date", "prediction", "k", "item_ref", "step", "status", "error"])
-
-    out = rows.groupBy("k").applyInPandas(run, "date date, prediction long, k string, item_ref string, step int, status string, error string")
-    return out.withColumnRenamed("k", key)
-
-
-def train(
-    feat: DataFrame,
-    spec: LearnerSpec = LearnerSpec(early_stop=50),
-    key: str = "series_id",
-    months: int = 1,
-    features: Sequence[str] = FEATURES_WITH_PRICE,
-) -> DataFrame:
-    """The model table: one row per series with its features, parameters, metrics, status and error.
-
-    The holdout also decides when to stop, so ``holdout_rmse`` is not that of unseen data.
+    day. A series' state is its last three values; the steps are folded over it inside one row.
     """
-    split = frames.holdout_split(feat, key, months)
-    rows = split.select(F.col(key).cast("string").alias("series_id"), "date", "quant", "split", *features)
-    names = list(features)
-
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("date", ignore_index=True)
-        name = group["series_id"].iloc[0]
-        columns = ["series_id", "features", "params", "train_rows", "holdout_rmse", "best_round", "importance", "status", "error"]
-        train, test = group[group["split"] == "train"], group[group["split"] == "test"]
-        try:
-            if not len(train):
-                raise ValueError("no training rows")
-            y = test["quant"].to_numpy(float)
-            model = Booster(spec).fit(_matrix(train, names), train["quant"].to_numpy(float), (_matrix(test, names), y))
-            error = float(np.sqrt(np.mean((model.predict(_matrix(test, names))[:, 0] - y) ** 2)))
-            row = (name, names, model.to_json(), len(train), error, model.best_round, model.importance().tolist(), "ok", None)
-        except Exception as e:  # one series must not stop the others
-            row = (name, names, None, len(train), None, None, None, "failed", str(e))
-        return pd.DataFrame([row], columns=columns)
-
-    return rows.groupBy("series_id").applyInPandas(run, MODEL)
+    train = frames.holdout_split(feat, key, months).where("split = 'train'")
+    start = F.lit(as_of).cast("date")
+    rows = _item(feat, key).join(frames.last_values(feat, key), key).join(squares.fit(train, [key], features, "quant"), key, "left")
+
+    def step(state: Column, n: Column) -> Column:
+        tail = state["tail"]
+        known = F.array(*[STATE[f](tail, F.date_add(start, n)).cast("double") for f in features])
+        new = F.rint(squares.value(known, F.col("mean"), F.col("center"), F.col("coef")))
+        return F.struct(F.array(tail[1], tail[2], new).alias("tail"), F.concat(state["out"], F.array(new)).alias("out"))
+
+    first = F.struct(F.col("last_values").alias("tail"), F.array().cast("array<double>").alias("out"))
+    path = F.aggregate(F.sequence(F.lit(1), F.lit(horizon)), first, step, lambda state: state["out"])
+    each = rows.withColumn("_p", path).select("*", F.posexplode("_p").alias("_n", "_v"))
+    each = each.withColumn("step", F.col("_n") + 1).withColumn("prediction", F.col("_v").cast("long"))
+    return _told(each.withColumn("date", F.date_add(start, F.col("step"))), key, F.col("mean").isNotNull())
+
+
+def train(feat: DataFrame, key: str = "series_id", months: int = 1, features: Sequence[str] = FEATURES_WITH_PRICE) -> DataFrame:
+    """The model table: one row per series with its features, parameters, holdout error, shares, status and error."""
+    split = frames.holdout_split(feat, key, months).withColumnRenamed(key, "series_id")
+    models = squares.fit(split.where("split = 'train'"), ["series_id"], features, "quant")
+    test = split.where("split = 'test'").join(models, "series_id").select("series_id", F.col("quant"), _fitted(features).alias("p"))
+    off = test.groupBy("series_id").agg(F.sqrt(F.avg((F.col("quant") - F.col("p")) ** 2)).alias("holdout_rmse"))
+    rows = split.select("series_id").distinct().join(models, "series_id", "left").join(off, "series_id", "left")
+    sound = F.col("mean").isNotNull()
+    return rows.select(
+        F.col("series_id").cast("string").alias("series_id"),
+        F.array(*[F.lit(f) for f in features]).alias("features"),
+        F.when(sound, F.to_json(F.struct("mean", "center", "coef"))).alias("params"),
+        F.coalesce("train_rows", F.lit(0)).cast("long").alias("train_rows"),
+        "holdout_rmse",
+        F.col("share").alias("importance"),
+        F.when(sound, "ok").otherwise("failed").alias("status"),
+        F.when(~sound, F.lit("no training rows")).alias("error"),
+    )
 
 
 def score(feat: DataFrame, models: DataFrame, key: str = "series_id") -> DataFrame:
     """``key, date, prediction`` of all rows of ``feat`` whose series has a sound model; the model's own features."""
     wanted = sorted({*FEATURES_WITH_PRICE} & {*feat.columns})
-    left = feat.select(F.col(key).cast("string").alias("series_id"), "date", *wanted).groupBy("series_id")
-    right = models.where("status = 'ok'").select("series_id", "features", "params").groupBy("series_id")
-
-    def run(rows: pd.DataFrame, model: pd.DataFrame) -> pd.DataFrame:
-        if rows.empty or model.empty:
-            return pd.DataFrame({"series_id": [], "date": [], "prediction": []})
-        names = list(model["features"].iloc[0])
-        values = Booster.from_json(model["params"].iloc[0]).predict(_matrix(rows, names))[:, 0]
-        return pd.DataFrame({"series_id": rows["series_id"], "date": rows["date"], "prediction": values})
-
-    return left.cogroup(right).applyInPandas(run, "series_id string, date date, prediction double")
+    named = F.map_from_arrays(F.array(*[F.lit(f) for f in wanted]), _known(wanted)).alias("_known")
+    params = F.from_json("params", "mean double, center array<double>, coef array<double>").alias("_m")
+    sound = models.where("status = 'ok'").select("series_id", "features", params)
+    rows = feat.select(F.col(key).cast("string").alias("series_id"), "date", named).join(sound, "series_id")
+    known = F.transform("features", lambda f: F.try_element_at("_known", f))
+    found = squares.value(known, F.col("_m.mean"), F.col("_m.center"), F.col("_m.coef"))
+    return rows.select("series_id", "date", found.alias("prediction"))
 
 
 def feature_importance(models: DataFrame) -> DataFrame:
-    """Gain share by series and feature, largest first."""
+    """Share of the spread by series and feature, largest first."""
     zipped = F.explode(F.arrays_zip("features", "importance")).alias("z")
     rows = models.where("status = 'ok'").select("series_id", zipped)
     return rows.select("series_id", F.col("z.features").alias("feature"), F.col("z.importance").alias("importance")).orderBy(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from seriesloom.plans.queries import BRAND, CUTOFF, HORIZON, OFFSET, SHORT, SPAN
+from seriesloom.plans.queries import BRAND, CUTOFF, HORIZON, OFFSET, SPAN, YEAR_PART
 
 AS_OF = "(SELECT max(CAST(l_shipdate AS DATE)) FROM lineitem)"
 
@@ -52,16 +52,17 @@ def _features(key: str = "p_brand") -> str:
 
 
 def _long(horizon: int, key: str = "p_brand") -> str:
-    return f"""{_features(key)}, numbered AS (
+    return f"""{_features(key)}, numbered AS MATERIALIZED (
   SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY date) AS i, count(*) OVER (PARTITION BY series_id) AS n FROM feat
 ), long AS (
-  SELECT a.series_id, a.date, a.lag_1, CAST(b.i - a.i AS INTEGER) AS step, b.quant AS y
-  FROM numbered a JOIN numbered b ON a.series_id = b.series_id AND b.i BETWEEN a.i + 1 AND a.i + {horizon}
+  SELECT a.series_id, a.date, a.lag_1, s.step, b.quant AS y
+  FROM numbered a CROSS JOIN (SELECT CAST(unnest(generate_series(1, {horizon})) AS INTEGER) AS step) s
+  JOIN numbered b ON a.series_id = b.series_id AND b.i = a.i + s.step
   WHERE a.i + {horizon} <= a.n)"""
 
 
-def _linear() -> str:
-    return f"""{_long(HORIZON)}, fitted AS (
+def _linear(horizon: int = HORIZON) -> str:
+    return f"""{_long(horizon)}, fitted AS (
   SELECT series_id, step, regr_slope(y, lag_1) AS slope, regr_intercept(y, lag_1) AS intercept, avg(y) AS mean
   FROM long WHERE lag_1 IS NOT NULL GROUP BY series_id, step), tail AS (
   SELECT series_id, lag_1 FROM numbered WHERE i = n), linear AS (
@@ -163,7 +164,12 @@ _SQL = {
     "series_gate_train": f"WITH {_profile()} SELECT *, CASE WHEN train_rows = 0 THEN 'empty_training' ELSE 'ok' END AS gate_reason FROM trains",
     "holdout_split": f"WITH {_clean()} SELECT series_id, date, round(quant, 6) AS quant, CASE WHEN date < CAST(max(date) OVER (PARTITION BY series_id) - INTERVAL 1 MONTH AS DATE) THEN 'train' ELSE 'test' END AS split FROM clean",
     "fixed_split": f"WITH {_clean()} SELECT series_id, date, round(quant, 6) AS quant, CASE WHEN date < DATE '{CUTOFF}' THEN 'train' ELSE 'test' END AS split FROM clean",
-    "direct_frame": f"WITH {_long(SHORT)} SELECT series_id, date, round(lag_1, 6) AS lag_1, step, round(y, 6) AS y FROM long",
+    "direct_frame": f"WITH {_features()}, ahead AS (SELECT series_id, date, lag_1, {', '.join(f'lead(quant, {k}) OVER w AS y_{k}' for k in range(1, HORIZON + 1))} FROM feat WINDOW w AS (PARTITION BY series_id ORDER BY date)) SELECT series_id, date, round(lag_1, 6) AS lag_1, {', '.join(f'round(y_{k}, 6) AS y_{k}' for k in range(1, HORIZON + 1))} FROM ahead WHERE y_{HORIZON} IS NOT NULL",
+    "forecast_direct_linear_90": f"WITH {_linear(YEAR_PART)} SELECT series_id, step, date, round(prediction_raw, 4) AS prediction_raw, CAST(round_even(prediction_raw, 0) AS BIGINT) AS prediction FROM linear",
+    "running_totals": f"WITH {_linear()} SELECT series_id, date, round(sum(prediction_raw) OVER (PARTITION BY series_id ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 3) AS running_total FROM linear",
+    "box_day": _box(f"WITH {_daily()}, b AS (SELECT CAST(day(date) AS INTEGER) AS day, quant FROM daily)", "day", "quant"),
+    "box_month": _box(f"WITH {_daily()}, b AS (SELECT CAST(month(date) AS INTEGER) AS month, quant FROM daily)", "month", "quant"),
+    "date_range": f"WITH {_daily()} SELECT 0 AS \"case\", min(date) AS first_date, max(date) AS last_date FROM daily WHERE series_id = '{BRAND}' UNION ALL SELECT 1, min(date), max(date) FROM daily UNION ALL SELECT 2, DATE '2024-05-06', DATE '2024-05-06'",
     "last_features": f"WITH {_features('l_partkey')} SELECT series_id, date, round(lag_1, 6) AS lag_1, round(rolling_mean_3, 6) AS rolling_mean_3, day_of_week, day_of_month, round(price_per_unit, 6) AS price_per_unit FROM (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY date DESC) AS n FROM feat) WHERE n = 1",
     "last_values": f"WITH {_clean('l_partkey')}, t AS (SELECT series_id, list(quant ORDER BY date) AS v FROM clean GROUP BY series_id), u AS (SELECT series_id, CASE WHEN len(v) < 3 THEN [v[-1], v[-1], v[-1]] ELSE v[-3:] END AS v FROM t) SELECT series_id, v[1] AS v1, v[2] AS v2, v[3] AS v3 FROM u",
     "future_calendar": f"WITH {_daily()}, s AS (SELECT DISTINCT series_id FROM daily), k AS (SELECT CAST(unnest(generate_series(1, {HORIZON})) AS INTEGER) AS step) SELECT series_id, step, {AS_OF} + step AS date FROM s, k",

@@ -8,7 +8,6 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesloom.learners.trees import LearnerSpec
 from seriesloom.operators import clean, features, forecast, frames, gates
 from seriesloom.operators.evaluate import actual_vs_pred
 from seriesloom.sources import readers, writers
@@ -24,17 +23,17 @@ def featured(raw: DataFrame, date_mode: str = "wall_clock", include_current: boo
     return features.add_features(clean.process(raw, date_mode), include_current=include_current)
 
 
-def production(raw: DataFrame, as_of: str | date, horizon: int = 90, spec: LearnerSpec = LearnerSpec()) -> DataFrame:
+def production(raw: DataFrame, as_of: str | date, horizon: int = 90) -> DataFrame:
     """Direct forecasts of all series that pass the gates."""
     feat = featured(raw)
     gated = gates.gate_direct(gates.series_profile(feat), as_of, horizon)
-    return forecast.direct(gates.passing(feat, gated), as_of, horizon, spec)
+    return forecast.direct(gates.passing(feat, gated), as_of, horizon)
 
 
-def training_view(raw: DataFrame, spec: LearnerSpec = LearnerSpec(early_stop=50)) -> tuple[DataFrame, DataFrame]:
+def training_view(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The model table, and every row with its holdout prediction."""
     feat = featured(raw, include_current=False)
-    models = forecast.train(feat, spec)
+    models = forecast.train(feat)
     test = frames.holdout_split(feat).where("split = 'test'")
     return models, actual_vs_pred(feat, forecast.score(test, models))
 

@@ -2,22 +2,21 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesloom.functions.scalar import half_even
+from seriesloom.functions.scalar import half_even, lenient_date
 from seriesloom.operators import clean, evaluate, features, forecast, frames, gates, profile, quality
 from seriesloom.plans.pipeline import featured, newest_day
 from seriesloom.sources import readers, writers
 
 HORIZON = 30
-SHORT = 7
+YEAR_PART = 90
 CUTOFF = "2001-01-01"
 SPAN = ("1999-01-01", "1999-12-31")
 BRAND = "Brand#11"
-#: Steps that one task fits: the forecasts are the same for any number, smaller ones spread a series over more tasks.
-STEP_BLOCK = 10
-
 Spark, Frame = SparkSession, DataFrame
 
 
@@ -60,9 +59,7 @@ def normalized_dates(spark: Spark, d: str) -> Frame:
     """Event times written as text at an offset of -03:00, read back in both modes."""
     events = readers.table(spark, d, "events")
     text = events.select("event_id", F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit("-03:00")).alias("t"))
-    shifted = F.to_date(F.col("t").try_cast("timestamp_ntz"))
-    utc = F.to_date(F.convert_timezone(F.lit("-03:00"), F.lit("UTC"), F.substring("t", 1, 19).try_cast("timestamp_ntz")))
-    return text.select("event_id", shifted.alias("wall_clock"), utc.alias("utc"))
+    return text.select("event_id", lenient_date("t").alias("wall_clock"), lenient_date("t", "utc").alias("utc"))
 
 
 def daily_collapse(spark: Spark, d: str) -> Frame:
@@ -159,6 +156,22 @@ def box_weekday(spark: Spark, d: str) -> Frame:
     return rounded(profile.box_summary(daily, "weekday"))
 
 
+def box_day(spark: Spark, d: str) -> Frame:
+    return rounded(profile.box_summary(_daily(spark, d).withColumn("day", F.dayofmonth("date")), "day"))
+
+
+def box_month(spark: Spark, d: str) -> Frame:
+    return rounded(profile.box_summary(_daily(spark, d).withColumn("month", F.month("date")), "month"))
+
+
+def date_range(spark: Spark, d: str) -> Frame:
+    """Of a known series, of an unknown one (the range of all), and of no rows at all (the day itself)."""
+    daily = _daily(spark, d)
+    asked = [(BRAND, daily), ("no such series", daily), (BRAND, daily.limit(0))]
+    found = [profile.date_range_of(df, name, "2024-05-06").withColumn("case", F.lit(i)) for i, (name, df) in enumerate(asked)]
+    return found[0].union(found[1]).union(found[2])
+
+
 def box_hour(spark: Spark, d: str) -> Frame:
     hours = features.add_calendar(readers.hourly_series(spark, d), "ts", ["hour"])
     return rounded(profile.box_summary(hours, "hour", "value"), 4)
@@ -173,10 +186,7 @@ def sku_contract(spark: Spark, d: str) -> Frame:
 
 
 def freshness(spark: Spark, d: str) -> Frame:
-    as_of = F.date_add(F.lit(_as_of(spark, d)), 10)
-    daily = _daily(spark, d)
-    age = F.datediff(as_of, F.max("date"))
-    return daily.agg(F.max("date").alias("last_date"), age.alias("age_days"), F.when(age > 30, "stale").otherwise("fresh").alias("status"))
+    return quality.freshness(_daily(spark, d), _as_of(spark, d) + timedelta(days=10))
 
 
 def freshness_levels(spark: Spark, d: str) -> Frame:
@@ -217,8 +227,8 @@ def fixed_split(spark: Spark, d: str) -> Frame:
 
 
 def direct_frame(spark: Spark, d: str) -> Frame:
-    long = frames.direct_frame(_features(spark, d), horizon=SHORT, features=["lag_1"], long=True)
-    return rounded(long)
+    wide = frames.direct_frame(_features(spark, d), horizon=HORIZON, features=["lag_1"])
+    return rounded(wide.select("series_id", "date", "lag_1", *[F.col("y")[i].alias(f"y_{i + 1}") for i in range(HORIZON)]))
 
 
 def last_features(spark: Spark, d: str) -> Frame:
@@ -235,20 +245,25 @@ def future_calendar(spark: Spark, d: str) -> Frame:
     return frames.future_calendar(last, "series_id", _as_of(spark, d), HORIZON)
 
 
-def _linear(spark: Spark, d: str) -> Frame:
-    return forecast.direct_linear(_features(spark, d), _as_of(spark, d), HORIZON)
+def _linear(spark: Spark, d: str, horizon: int = HORIZON) -> Frame:
+    return forecast.direct_linear(_features(spark, d), _as_of(spark, d), horizon)
 
 
 def forecast_direct_linear(spark: Spark, d: str) -> Frame:
     return rounded(_linear(spark, d), 4)
 
 
+def forecast_direct_linear_90(spark: Spark, d: str) -> Frame:
+    return rounded(_linear(spark, d, YEAR_PART), 4)
+
+
+def running_totals(spark: Spark, d: str) -> Frame:
+    return rounded(evaluate.running_totals(_linear(spark, d), value="prediction_raw").select("series_id", "date", "running_total"), 3)
+
+
 def horizon_totals(spark: Spark, d: str) -> Frame:
-    until = F.date_add(F.lit(_as_of(spark, d)), 10)
-    totals = _linear(spark, d).groupBy("series_id").agg(
-        F.sum("prediction_raw").alias("total"), F.sum(F.when(F.col("date") <= until, F.col("prediction_raw"))).alias("total_until")
-    )
-    return rounded(totals, 3)
+    until = _as_of(spark, d) + timedelta(days=10)
+    return rounded(evaluate.horizon_totals(_linear(spark, d), until, value="prediction_raw"), 3)
 
 
 def _holdout(spark: Spark, d: str) -> Frame:
@@ -272,7 +287,7 @@ def forecast_direct(spark: Spark, d: str) -> Frame:
     as_of = _as_of(spark, d)
     feat = _features(spark, d)
     gated = gates.gate_direct(gates.series_profile(feat), as_of, HORIZON)
-    return writers.forecast_rows(forecast.direct(gates.passing(feat, gated), as_of, HORIZON, step_block=STEP_BLOCK))
+    return writers.forecast_rows(forecast.direct(gates.passing(feat, gated), as_of, HORIZON))
 
 
 def forecast_recursive(spark: Spark, d: str) -> Frame:
@@ -329,9 +344,10 @@ _ALL = [
     order_lines, normalized_dates, daily_collapse, daily_collapse_sku, dedup_daily, dense_daily, zero_runs_marked,
     clean_daily, clean_daily_parts, complete_features, calendar_features, hourly_series, legacy_sales, rounding,
     series_slice, open_range, outlier_filter, series_calendar, weekday_profile, series_count, series_list,
-    series_date_range, box_weekday, box_hour, quantity_histogram, sku_contract, freshness, freshness_levels,
+    series_date_range, date_range, box_weekday, box_day, box_month, box_hour, quantity_histogram, sku_contract, freshness, freshness_levels,
     series_profile, series_gate, gate_summary, series_gate_recursive, series_gate_train, holdout_split, fixed_split,
-    direct_frame, last_features, last_values, future_calendar, forecast_direct_linear, horizon_totals, actual_vs_pred,
+    direct_frame, last_features, last_values, future_calendar, forecast_direct_linear,
+    forecast_direct_linear_90, running_totals, horizon_totals, actual_vs_pred,
     forecast_rmse, worst_days, forecast_direct, forecast_recursive, series_models, available_series,
     feature_importance, holdout_predictions, forecast_scan, forecast_slice, forecast_pooled, hourly_forecast,
 ]

@@ -5,73 +5,55 @@ from datetime import date, timedelta
 import numpy as np
 import pytest
 
-from seriesloom.learners.trees import Booster, LearnerSpec
+from seriesloom.learners import squares
 from seriesloom.operators import features, forecast
 from seriesloom.operators.schema import DAILY, FORECAST
 from seriesloom.plans import pipeline
 from seriesloom.sources import readers, writers
 
-SPEC = LearnerSpec(rounds=60, rate=0.2)
-
 
 def series(spark, values, name="a", start=date(2024, 1, 1)):
     rows = [(name, start + timedelta(days=i), float(v), 1.0, f"{name}-item") for i, v in enumerate(values)]
     return spark.createDataFrame(rows, DAILY)
 
 
-def test_constant_target():
-    x = np.arange(40.0).reshape(-1, 1)
-    assert Booster(SPEC).fit(x, np.full(40, 7.0)).predict(x) == pytest.approx(np.full((40, 1), 7.0), abs=0.1)
-
-
-def test_step_function_and_outputs_side_by_side():
-    x = np.arange(100.0).reshape(-1, 1)
-    y = np.stack([np.where(x[:, 0] < 50, 1.0, 9.0), np.where(x[:, 0] < 20, 4.0, -4.0)], axis=1)
-    both = Booster(SPEC).fit(x, y)
-    assert both.predict(x) == pytest.approx(y, abs=0.2)
-    alone = Booster(SPEC).fit(x, y[:, 1])
-    assert both.predict(x)[:, 1] == pytest.approx(alone.predict(x)[:, 0], abs=1e-12)
-
-
-def test_missing_values_take_the_better_side():
-    x = np.array([[0.0], [0.0], [1.0], [1.0], [np.nan], [np.nan]] * 10)
-    y = np.array([0.0, 0.0, 8.0, 8.0, 8.0, 8.0] * 10)
-    assert Booster(SPEC).fit(x, y).predict(np.array([[np.nan], [0.0]]))[:, 0] == pytest.approx([8, 0], abs=0.2)
-
-
-def test_early_stop_and_json():
+def test_least_squares_equal_numpy(spark):
     rnd = np.random.default_rng(0)
-    x = rnd.normal(size=(200, 3))
-    y = x[:, 0] + rnd.normal(size=200)
-    model = Booster(LearnerSpec(rounds=500, rate=0.3, early_stop=5)).fit(x[:150], y[:150], (x[150:], y[150:]))
-    assert 0 < model.best_round < 500 and len(model.trees) == model.best_round
-    again = Booster.from_json(model.to_json())
-    assert (again.predict(x) == model.predict(x)).all()
-    assert model.importance().argmax() == 0 and model.importance().sum() == pytest.approx(1)
-
-
-def test_direct_forecast_is_the_same_for_any_step_block(spark):
+    x = rnd.normal(size=(300, 3)) * [1, 100, 0.01] + [5, -3, 1]
+    y = x @ [2.0, -0.5, 30.0] + rnd.normal(size=300)
+    group = np.arange(300) % 3
+    rows = [(int(g), *map(float, r), 7.0, float(v)) for g, r, v in zip(group, x, y)]
+    frame = spark.createDataFrame([*rows, (0, None, 1.0, 1.0, 7.0, 5.0), (9, None, 1.0, 1.0, 7.0, 5.0)], "g long, a double, b double, c double, d double, y double")
+    for r in squares.fit(frame, ["g"], ["a", "b", "c", "d"]).collect():
+        if r["g"] == 9:
+            assert r["mean"] == 5 and r["coef"] == [0, 0, 0, 0]
+            continue
+        own = group == r["g"]
+        want = np.linalg.lstsq(np.c_[x[own], np.ones(own.sum())], y[own], rcond=None)[0]
+        assert r["coef"][:3] == pytest.approx(want[:3], rel=1e-6) and r["coef"][3] == 0
+        assert r["mean"] - np.dot(r["coef"][:3], r["center"][:3]) == pytest.approx(want[3], rel=1e-6)
+
+
+def test_direct_forecast(spark):
     feat = features.add_features(series(spark, [5 + (i % 7) for i in range(80)]).union(series(spark, [3] * 80, "b")))
-    whole = forecast.direct(feat, "2024-03-20", 7, SPEC).orderBy("series_id", "step").collect()
-    blocks = forecast.direct(feat.repartition(7), "2024-03-20", 7, SPEC, step_block=2).orderBy("series_id", "step").collect()
-    assert whole == blocks and len(whole) == 14
-    assert whole[0]["date"] == date(2024, 3, 21) and whole[0]["item_ref"] == "a-item"
-    assert {r["prediction"] for r in whole if r["series_id"] == "b"} == {3}
+    found = forecast.direct(feat, "2024-03-20", 7).orderBy("series_id", "step").collect()
+    assert len(found) == 14 and found[0]["date"] == date(2024, 3, 21) and found[0]["item_ref"] == "a-item"
+    assert {r["prediction"] for r in found if r["series_id"] == "b"} == {3}
 
 
 def test_one_failing_series_does_not_stop_the_others(spark):
     feat = features.add_features(series(spark, [5] * 60).union(series(spark, [1] * 3, "b")))
-    found = forecast.direct(feat, "2024-03-20", 7, SPEC)
+    found = forecast.direct(feat, "2024-03-20", 7)
     assert {(r["series_id"], r["status"]) for r in found.collect()} == {("a", "ok"), ("b", "failed")}
     assert writers.forecast_rows(found).count() == 7
 
 
 def test_recursive_and_models(spark):
     feat = features.add_features(series(spark, [4 + (i % 2) for i in range(120)]), include_current=False)
-    rows = forecast.recursive(feat, "2024-04-30", 4, LearnerSpec(rounds=80, rate=0.2, early_stop=10)).orderBy("step").collect()
+    rows = forecast.recursive(feat, "2024-04-30", 4).orderBy("step").collect()
     assert [r["status"] for r in rows] == ["ok"] * 4
     assert {r["prediction"] for r in rows} <= {4, 5}
-    models = forecast.train(feat, LearnerSpec(rounds=80, rate=0.2, early_stop=10)).cache()
+    models = forecast.train(feat).cache()
     assert models.first()["status"] == "ok" and models.first()["holdout_rmse"] < 1
     assert forecast.score(feat, models).count() == 120
     assert [r["series_id"] for r in forecast.available_series(models).collect()] == ["a"]
@@ -125,12 +107,27 @@ def test_csv_round_trip(spark, tmp_path):
 
 def test_model_table_is_stored_by_bucket(spark, tmp_path):
     feat = features.add_features(series(spark, [4] * 60), include_current=False)
-    writers.save_models(forecast.train(feat, LearnerSpec(rounds=5)), str(tmp_path / "models"))
+    writers.save_models(forecast.train(feat), str(tmp_path / "models"))
     assert spark.read.parquet(str(tmp_path / "models")).where("series_id = 'a'").count() == 1
 
 
 def test_production_chain(spark, sf):
     raw = readers.raw_order_lines(spark, sf)
     as_of = pipeline.newest_day(raw, "date_created")
-    found = pipeline.production(raw, as_of, 3, LearnerSpec(rounds=5))
+    found = pipeline.production(raw, as_of, 3)
     assert found.count() > 0 and set(r["status"] for r in found.collect()) == {"ok"}
+
+
+def test_jdbc_round_trip(spark, tmp_path):
+    """Source and sink against the Derby driver that Spark brings."""
+    url = f"jdbc:derby:{tmp_path}/db;create=true"
+    options = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    rows = spark.createDataFrame([(date(2024, 1, d), d, "a", "x") for d in range(1, 11)], FORECAST)
+    assert writers.forecasts_to_jdbc(rows, url, "stored", options)
+    assert not writers.forecasts_to_jdbc(rows.limit(0), url, "stored", options)
+    assert writers.forecasts_to_jdbc(rows, url, "stored", options, "append")
+    whole = readers.jdbc(spark, url, "stored", options)
+    split = readers.jdbc(spark, url, "stored", options, '"prediction"', ("1", "10"), 4)
+    assert whole.count() == split.count() == 20 and split.rdd.getNumPartitions() == 4
+    assert writers.forecasts_to_jdbc(rows, url, "stored", options, "replace")
+    assert sorted(readers.jdbc(spark, url, "stored", options).collect()) == sorted(rows.collect())
