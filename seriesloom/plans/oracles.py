@@ -55,10 +55,9 @@ def _long(horizon: int, key: str = "p_brand") -> str:
     return f"""{_features(key)}, numbered AS MATERIALIZED (
   SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY date) AS i, count(*) OVER (PARTITION BY series_id) AS n FROM feat
 ), long AS (
-  SELECT a.series_id, a.date, a.lag_1, s.step, b.quant AS y
-  FROM numbered a CROSS JOIN (SELECT CAST(unnest(generate_series(1, {horizon})) AS INTEGER) AS step) s
-  JOIN numbered b ON a.series_id = b.series_id AND b.i = a.i + s.step
-  WHERE a.i + {horizon} <= a.n)"""
+  SELECT series_id, date, lag_1, CAST(generate_subscripts(v, 1) AS INTEGER) AS step, unnest(v) AS y FROM (
+    SELECT *, list(quant) OVER (PARTITION BY series_id ORDER BY date ROWS BETWEEN 1 FOLLOWING AND {horizon} FOLLOWING) AS v FROM numbered)
+  WHERE len(v) = {horizon})"""
 
 
 def _linear(horizon: int = HORIZON) -> str:
