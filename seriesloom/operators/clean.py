@@ -80,23 +80,39 @@ def clean_sparse(daily: DataFrame, key: str = "series_id", max_zero_run: int = M
     """What ``clean_dense`` gives, without making the days that it would remove.
 
     A zero run is what lies between consecutive days with sales (or a series' ends), so only gaps of up to
-    ``max_zero_run`` days are filled. Zero days of the input keep their price.
+    ``max_zero_run`` days are filled. Zero days of the input keep their price. One shuffle by series serves all windows;
+    each row then makes the missing days that follow it.
     """
-    ends = daily.groupBy(key).agg(F.date_sub(F.min("date"), 1).alias("_a"), F.date_add(F.max("date"), 1).alias("_b"))
-    borders = ends.select(key, F.explode(F.array("_a", "_b")).alias("date"), F.lit(None).cast("double").alias("quant"))
-    sold = daily.where("quant <> 0")
-    marks = sold.select(key, "date", "quant").union(borders)
-    following = F.lead("date").over(W.partitionBy(key).orderBy("date"))
-    gaps = marks.withColumn("_next", following).withColumn("_gap", F.datediff("_next", "date") - 1)
-    gaps = gaps.where(F.col("_gap").between(1, max_zero_run))
-    days = gaps.select(key, F.explode(F.sequence(F.date_add("date", 1), F.date_sub("_next", 1))).alias("date"))
-    still = daily.where("quant = 0")
-    filled = days.join(still, [key, "date"], "left").fillna(0.0, ["quant", "price"])
-    kept = sold.unionByName(filled)
-    if "item_ref" not in daily.columns:
-        return kept
-    named = daily.where(F.col("item_ref").isNotNull()).groupBy(key).agg(F.min_by("item_ref", "date").alias("item_ref"))
-    return kept.drop("item_ref").join(named, key, "left")
+    ordered, backward, whole = W.partitionBy(key).orderBy("date"), W.partitionBy(key).orderBy(F.col("date").desc()), W.partitionBy(key)
+    sold = F.when(F.coalesce(F.col("quant"), F.lit(0.0)) != 0, F.col("date"))
+    marks = {
+        "_next": F.lead("date").over(ordered),
+        "_a": F.coalesce(F.last(sold, ignorenulls=True).over(ordered.rowsBetween(W.unboundedPreceding, 0)), F.date_sub(F.min("date").over(whole), 1)),
+        "_b": F.coalesce(F.last(sold, ignorenulls=True).over(backward.rowsBetween(W.unboundedPreceding, -1)), F.date_add(F.max("date").over(whole), 1)),
+    }
+    if "item_ref" in daily.columns:
+        named = F.struct("date", "item_ref")
+        marks["_item"] = F.min(F.when(F.col("item_ref").isNotNull(), named)).over(whole)["item_ref"]
+    rows = daily.withColumns(marks)
+    # Between the last sale up to this row and the first one after it lies the zero run that this row or the days after it belong to.
+    short = F.datediff("_b", "_a") - 1 <= max_zero_run
+    zero = F.coalesce(F.col("quant"), F.lit(0.0)) == 0
+    own = F.when(~zero | short, F.array(F.struct(F.col("date").alias("date"), F.lit(True).alias("own")))).otherwise(F.array())
+    missing = F.when(short & (F.datediff("_next", "date") > 1), F.sequence(F.date_add("date", 1), F.date_sub("_next", 1))).otherwise(F.array().cast("array<date>"))
+    later = F.transform(missing, lambda d: F.struct(d.alias("date"), F.lit(False).alias("own")))
+    made = rows.select("*", F.explode(F.concat(own, later)).alias("_day"))
+
+    def column(c: str):
+        if c == key:
+            return F.col(c)
+        if c == "date":
+            return F.col("_day.date").alias(c)
+        if c == "item_ref":
+            return F.col("_item").alias(c)
+        known = F.when(F.col("_day.own"), F.col(c))
+        return (F.coalesce(known, F.lit(0.0)) if c in ("quant", "price") else known).alias(c)
+
+    return made.select(*[column(c) for c in daily.columns])
 
 
 def process(raw: DataFrame, date_mode: str = "wall_clock", max_zero_run: int = MAX_ZERO_RUN, mapping: dict[str, str] | None = None) -> DataFrame:

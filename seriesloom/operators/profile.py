@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -38,21 +39,29 @@ def weekday_profile(daily: DataFrame, value: str = "quant") -> DataFrame:
 def box_summary(df: DataFrame, by: str, value: str = "quant") -> DataFrame:
     """Quartiles, 1.5 IQR whiskers (extreme values inside the fences) and outliers of ``value`` for each ``by``.
 
-    Quartiles first; whiskers and outliers come from a second aggregation that joins them back, so no group is
-    collected and the group's rows combine before the shuffle.
+    Equal values are counted first, so what is sorted are the distinct values of a group, and quartiles are read off
+    running counts (a window that streams and spills). Whiskers and outliers come from the same counts.
     """
-    q = F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    quartiles = df.groupBy(by).agg(q.alias("_q")).select(
-        F.col(by).alias("_by"), F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3")
-    )
+    counts = df.where(F.col(value).isNotNull()).groupBy(F.col(by), F.col(value).alias("_v")).agg(F.count("*").alias("_c"))
+    counts = counts.withColumn("_n", F.sum("_c").over(W.partitionBy(by)))
+    upto = W.partitionBy(by).orderBy("_v").rowsBetween(W.unboundedPreceding, W.currentRow)
+    running = counts.withColumn("_upto", F.sum("_c").over(upto))
+
+    def quartile(part: float, name: str):
+        at = F.lit(part) * (F.col("_n") - 1)
+        low = F.min(F.when(F.col("_upto") > F.floor(at), F.col("_v")))
+        high = F.min(F.when(F.col("_upto") > F.ceil(at), F.col("_v")))
+        return (low + (high - low) * F.max(at - F.floor(at))).alias(name)
+
+    quartiles = running.groupBy(F.col(by).alias("_by")).agg(quartile(0.25, "q1"), quartile(0.5, "median"), quartile(0.75, "q3"))
     low, high = F.col("q1") - 1.5 * (F.col("q3") - F.col("q1")), F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))
-    inside = F.col(value).between(low, high)
-    joined = df.select(by, value).join(quartiles, F.col(by).eqNullSafe(F.col("_by")))
+    inside = F.col("_v").between(low, high)
+    joined = counts.join(quartiles, F.col(by).eqNullSafe(F.col("_by")))
     return joined.groupBy(by, "q1", "median", "q3").agg(
-        F.min(F.when(inside, F.col(value))).alias("whisker_low"),
-        F.max(F.when(inside, F.col(value))).alias("whisker_high"),
-        F.count_if(~inside).alias("outliers"),
-        F.count(value).alias("n"),
+        F.min(F.when(inside, F.col("_v"))).alias("whisker_low"),
+        F.max(F.when(inside, F.col("_v"))).alias("whisker_high"),
+        F.sum(F.when(~inside, F.col("_c")).otherwise(0)).alias("outliers"),
+        F.sum("_c").alias("n"),
     )
 
 
