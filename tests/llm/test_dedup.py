@@ -159,3 +159,23 @@ def test_substring_edges(make, edge):
     assert (rows[0]["n_words"], rows[0]["kept"]) == (0, "")
     assert rows[6]["n_removed"] == rows[6]["n_words"] == 20_000 and rows[7]["kept"] == "tail"
     assert substring_dedup.deduplicate(make(edge).limit(0)).count() == 0
+
+
+def test_repeated_ids_with_other_vectors_and_text_labels(spark):
+    rows = [(1, [0.0, 1.0], "a"), (1, [1.0, 0.0], "a"), (2, [1.0, 0.001], "a"), (3, [1.0, 0.0], "b"), (None, [1.0, 0.0], "a")]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label string")
+    found = sorted((tuple(r) for r in embedding_dedup.near_duplicates(df).collect()), key=str)
+    assert found == sorted([(1, 0, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 0, 3, True), (None, 0, None, True)], key=str)
+
+
+@pytest.mark.parametrize("name", ["doc", "tag", "spans", "_t", "rank", "_source", "_s", "_data", "_in", "_kept", "fp", "drop"])
+def test_clashing_names(make, name):
+    from seriesloom.llm import mixing, quality, simhash_dedup
+
+    docs = make([(0, "some words here"), (1, "some words here"), (2, None)]).withColumn(name, F.lit("own"))
+    for out in (
+        substring_dedup.deduplicate(docs), mixing.mix(docs), quality.with_signals(docs), quality.passing(docs),
+        simhash_dedup.with_fingerprint(docs), simhash_dedup.deduplicate(docs),
+    ):
+        assert name in out.columns
+        out.count()
