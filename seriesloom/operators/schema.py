@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 KEY, DATE, TARGET = "series_id", "date", "quant"
+#: The feature names of stored models.
 FEATURES = ("lag_1", "rolling_mean_3", "day_of_week", "day_of_month", "price_per_unit")
 FEATURES_WITH_PRICE = (*FEATURES, "price")
 
-#: Raw order lines, and the canonical names they get.
+#: The columns of raw order lines as the source names them, and the canonical names they get.
 RAW_COLUMNS = {
     "order_id": "order_id",
     "date_created": "ts",
