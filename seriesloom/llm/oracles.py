@@ -182,6 +182,64 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM f
 """
 
+#: crc32 of the ASCII digits of a number: one step a bit, under the reflected polynomial.
+_CRC32 = """xor(4294967295, list_reduce(
+    list_concat([CAST(4294967295 AS BIGINT)], list_transform(string_split(CAST({0} AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+    lambda crc, b: list_reduce([xor(crc, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, _: xor(x >> 1, (x & 1) * 3988292384))))"""
+
+
+def _field(column: str) -> str:
+    return f"coalesce(CAST(strlen(CAST({column} AS VARCHAR)) AS VARCHAR) || ':' || CAST({column} AS VARCHAR), '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    return "sha256(" + " || ".join(_field(c) for c in ("doc_id", "source", "lang", n_chars, "text")) + ")"
+
+
+_LEVELS = """
+  SELECT tree, k + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)), max((n + 1) // 2)
+  FROM {0} WHERE n > 1 GROUP BY tree, k, i // 2"""
+
+#: Levels of all trees, then of the one over their roots; each leaf's siblings; the tampered leaf folded up again.
+OP13 = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce('v' || lang, '') AS tree, {_leaf('n_chars')} AS leaf,
+    CASE WHEN doc_id IS NOT NULL AND {_CRC32.format('doc_id')} % 7 = 0 THEN {_leaf('(n_chars + 1)')} END AS tampered
+  FROM documents
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+    count(*) OVER (PARTITION BY tree) AS n FROM d
+), nodes AS (
+  SELECT tree, 0 AS k, pos AS i, leaf AS h, n FROM r UNION ALL {_LEVELS.format('nodes')}
+), tops AS (SELECT tree, h, k FROM nodes WHERE n = 1), t AS (
+  SELECT '' AS tree, tree AS name, h, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n FROM tops
+), upper AS (
+  SELECT tree, 0 AS k, pos AS i, h, n FROM t UNION ALL {_LEVELS.format('upper')}
+), root AS (SELECT h AS root FROM upper WHERE n = 1), steps AS (
+  SELECT r.tree, r.pos, a.k, xor(r.pos >> a.k, 1) AS sibling FROM r
+  JOIN (SELECT DISTINCT tree, k FROM nodes WHERE n > 1) a ON a.tree = r.tree
+), low AS (
+  SELECT s.tree, s.pos, list(struct_pack(h := x.h, up := (s.pos >> s.k) % 2 = 1) ORDER BY s.k) AS p
+  FROM steps s LEFT JOIN nodes x ON x.tree = s.tree AND x.k = s.k AND x.i = s.sibling GROUP BY s.tree, s.pos
+), high AS (
+  SELECT t.name, list(struct_pack(h := x.h, up := (t.pos >> a.k) % 2 = 1) ORDER BY a.k) AS p
+  FROM t JOIN (SELECT DISTINCT k FROM upper WHERE n > 1) a ON true
+  LEFT JOIN upper x ON x.k = a.k AND x.i = xor(t.pos >> a.k, 1) GROUP BY t.name
+), whole AS (
+  SELECT r.doc_id, r.leaf, t.h AS subroot, root, coalesce(tampered, leaf) AS start,
+    list_concat(coalesce(low.p, []), coalesce(high.p, [])) AS p
+  FROM r JOIN t ON t.name = r.tree CROSS JOIN root
+  LEFT JOIN low ON low.tree = r.tree AND low.pos = r.pos LEFT JOIN high ON high.name = r.tree
+), f AS (
+  SELECT *, (list_reduce(list_concat([struct_pack(h := start, up := false)], p), lambda a, x: struct_pack(
+    h := sha256(CASE WHEN x.up THEN coalesce(x.h, '') || a.h ELSE a.h || coalesce(x.h, '') END), up := false))).h AS folded
+  FROM whole
+)
+SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(p, lambda x: coalesce(x.h, '')), '')) AS proof_sha256,
+  folded AS folded_root, folded = root AS verified
+FROM f
+"""
+
 
 ORACLES = {
     "op1_embedding_dedup": OP1,
@@ -190,4 +248,5 @@ ORACLES = {
     "op7_substring_dedup": OP7,
     "op8_mixing": OP8,
     "op9_quality_rules": _op9(),
+    "op13_merkle_manifest": OP13,
 }

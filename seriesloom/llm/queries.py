@@ -11,6 +11,7 @@ from seriesloom.llm import (
     chat,
     embedding_dedup,
     line_dedup,
+    merkle,
     mixing,
     quality,
     simhash_dedup,
@@ -128,6 +129,25 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    changed = merkle.leaf([F.col(f) + 1 if f == "n_chars" else F.col(f) for f in fields])
+    picked = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    found = merkle.manifest(docs, "lang", "doc_id", fields, {"tampered": F.when(picked, changed)})
+    folded = merkle.folded(F.coalesce("tampered", "leaf"), F.col("proof"))
+    rows = found.withColumn("folded_root", folded)
+    return rows.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        merkle.proof_hash(F.col("proof")).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -145,5 +165,6 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_quality_rules": op9_quality_rules,
     "op10_token_output": op10_token_output,
+    "op13_merkle_manifest": op13_merkle_manifest,
     "pipeline": pipeline,
 }
