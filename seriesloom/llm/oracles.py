@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from seriesloom.llm import mixing, quality, warc
+from seriesloom.llm import divergence, mixing, quality, warc
 from seriesloom.llm.substring_dedup import WINDOW
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -182,6 +182,47 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM f
 """
 
+_P = "1 + (1000000000 * (CAST({0} AS HUGEINT) + {prior})) // ({1} + {prior} * CAST(v AS HUGEINT))"
+
+
+def _op11() -> str:
+    p = lambda count, n: _P.format(count, n, prior=divergence.PRIOR)
+    folded = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all({folded.format("coalesce(text, '')")}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents
+), w AS (SELECT id, lang, source, unnest(ts) AS term FROM d), c AS (
+  SELECT lang, source, term, count(*) AS n FROM w GROUP BY lang, source, term
+), kept AS (SELECT lang, term FROM w GROUP BY lang, term HAVING count(DISTINCT id) >= {divergence.MIN_DOCS}),
+k AS (SELECT c.* FROM c JOIN kept USING (lang, term)), g AS (SELECT DISTINCT lang, source FROM d),
+size AS (SELECT lang, source, sum(n) AS n FROM k GROUP BY lang, source),
+l AS (SELECT lang, (SELECT count(*) FROM kept WHERE kept.lang = x.lang) AS v FROM (SELECT DISTINCT lang FROM g) x),
+whole AS (SELECT lang, term, sum(n) AS n, sum(sum(n)) OVER (PARTITION BY lang) AS all_n FROM k GROUP BY lang, term),
+p AS (
+  SELECT g.lang, g.source, kept.term, coalesce(k.n, 0) AS n, {p("coalesce(k.n, 0)", "coalesce(size.n, 0)")} AS p
+  FROM g JOIN l ON l.lang = g.lang JOIN kept ON kept.lang = g.lang
+  LEFT JOIN k ON k.lang = g.lang AND k.source = g.source AND k.term = kept.term
+  LEFT JOIN size ON size.lang = g.lang AND size.source = g.source
+), pair AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(sum(abs(x.p - y.p)), 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN p x ON x.lang = a.lang AND x.source = a.source
+  LEFT JOIN p y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+  WHERE x.term IS NULL OR y.term IS NOT NULL GROUP BY a.lang, a.source, b.source
+), q AS (SELECT whole.lang, term, {p("n", "all_n")} AS q FROM whole JOIN l ON l.lang = whole.lang), mark AS (
+  SELECT p.lang, p.source, p.term AS item, p - q AS value FROM p JOIN q ON q.lang = p.lang AND q.term = p.term
+  WHERE p.n > 0 AND p > q
+), ranked AS (
+  SELECT lang, source, 'pair' AS part, item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS r FROM pair
+  UNION ALL
+  SELECT lang, source, 'term', item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) FROM mark
+  QUALIFY row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) <= {divergence.TOP}
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(r AS INTEGER) AS rank FROM ranked
+"""
+
+
 #: crc32 of the ASCII digits of a number: one step a bit, under the reflected polynomial.
 _CRC32 = """xor(4294967295, list_reduce(
     list_concat([CAST(4294967295 AS BIGINT)], list_transform(string_split(CAST({0} AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
@@ -248,5 +289,6 @@ ORACLES = {
     "op7_substring_dedup": OP7,
     "op8_mixing": OP8,
     "op9_quality_rules": _op9(),
+    "op11_source_divergence": _op11(),
     "op13_merkle_manifest": OP13,
 }

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from seriesloom.llm import (
     bpe,
     chat,
+    divergence,
     embedding_dedup,
     line_dedup,
     merkle,
@@ -129,6 +130,10 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents").select("text", "lang", "source"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
     fields = ["doc_id", "source", "lang", "n_chars", "text"]
@@ -165,6 +170,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_quality_rules": op9_quality_rules,
     "op10_token_output": op10_token_output,
+    "op11_source_divergence": op11_source_divergence,
     "op13_merkle_manifest": op13_merkle_manifest,
     "pipeline": pipeline,
 }
