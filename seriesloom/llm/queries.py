@@ -18,6 +18,7 @@ from seriesloom.llm import (
     simhash_dedup,
     substring_dedup,
     token_output,
+    toxicity,
     warc,
 )
 from seriesloom.llm.common import new_path, written
@@ -134,6 +135,12 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(_table(spark, sf_dir, "documents").select("text", "lang", "source"))
 
 
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = toxicity.classify(docs, _table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    return found.select("doc_id", "held_out", "score", "predicted")
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
     fields = ["doc_id", "source", "lang", "n_chars", "text"]
@@ -171,6 +178,7 @@ QUERIES = {
     "op9_quality_rules": op9_quality_rules,
     "op10_token_output": op10_token_output,
     "op11_source_divergence": op11_source_divergence,
+    "op12_toxicity": op12_toxicity,
     "op13_merkle_manifest": op13_merkle_manifest,
     "pipeline": pipeline,
 }
