@@ -10,6 +10,7 @@ probabilities, and only terms that two sources share need a correction of their
 from __future__ import annotations
 
 import heapq
+import itertools
 import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -26,11 +27,16 @@ from seriesloom.llm.common import slices, written
 BLOCK_ENTRIES = 500_000
 #: Terms in a chunk of a run at most.
 CHUNK = 1024
+#: Chunks in a batch that a task hands on.
+ROWS = 64
 #: Bytes of one text that are cut into words at a time.
 PIECE = 4 << 20
 #: Sources in a block of pair sums.
 SIDE = 512
 
+#: Terms whose corrections are summed at a time.
+DENSE_ROWS = 512
+
 MIN_DOCS = 30
 SCALE = 1_000_000_000
 PRIOR = 5
@@ -75,111 +81,109 @@ class _Block:
     def run(self, shards: int) -> Iterator[pa.RecordBatch]:
         """The postings as chunks of terms in order, each of one language and shard."""
         for lang, docs in self.docs.items():
-            terms = sorted(docs)
-            place = {t: i for i, t in enumerate(terms)}
+            if not docs:
+                continue
             names = sorted(self.counts[lang])
             each = [self.counts[lang][s] for s in names]
-            at = np.fromiter((place[t] for c in each for t in c), np.int64, sum(map(len, each)))
-            count = np.fromiter((n for c in each for n in c.values()), np.int64, len(at))
+            salt = zlib.crc32(lang.encode())
+            terms = sorted(docs)
+            shard = np.fromiter((zlib.crc32(t, salt) % shards for t in terms), np.int32, len(terms))
+            by_shard = np.argsort(shard, kind="stable")
+            terms, shard = [terms[i] for i in by_shard.tolist()], shard[by_shard]
+            place = dict(zip(terms, range(len(terms)), strict=True))
+            at = np.fromiter(itertools.chain.from_iterable(map(place.__getitem__, c) for c in each), np.int64, sum(map(len, each)))
+            count = np.fromiter(itertools.chain.from_iterable(c.values() for c in each), np.int64, len(at))
             source = np.repeat(np.arange(len(names), dtype=np.int32), [len(c) for c in each])
             order = np.argsort(at, kind="stable")
             source, count, sizes = source[order], count[order], np.bincount(at, minlength=len(terms)).astype(np.int32)
-            ends = np.cumsum(sizes)
-            salt = zlib.crc32(lang.encode())
-            shard = np.fromiter((zlib.crc32(t, salt) % shards for t in terms), np.int64, len(terms))
-            by_shard = np.argsort(shard, kind="stable")
-            cuts = np.flatnonzero(np.diff(shard[by_shard])) + 1
-            for own in np.split(by_shard, cuts):
-                for i in range(0, len(own), CHUNK):
-                    yield self._chunk(int(shard[own[0]]), lang, own[i : i + CHUNK], terms, docs, names, sizes, ends, source, count)
+            ends = np.concatenate([[0], np.cumsum(sizes)])
+            begins = np.flatnonzero(np.diff(shard, prepend=-1))
+            cuts = [c for i, j in zip(begins, [*begins[1:], len(terms)], strict=True) for c in range(i, j, CHUNK)]
+            lists = lambda cut, values, kind: pa.ListArray.from_arrays(pa.array(np.append(cut, len(values)).astype(np.int32)), pa.array(values, kind))
+            used = [np.unique(x) for x in np.split(source, ends[cuts[1:]])]
+            local = [np.searchsorted(u, x) for u, x in zip(used, np.split(source, ends[cuts[1:]]), strict=True)]
+            named = np.cumsum([0, *map(len, used[:-1])])
+            columns = {
+                "shard": pa.array(shard[cuts]),
+                "lang": pa.array([lang] * len(cuts), pa.string()),
+                "first": pa.array([terms[c] for c in cuts], pa.binary()),
+                "terms": lists(cuts, terms, pa.binary()),
+                "docs": lists(cuts, list(map(docs.__getitem__, terms)), pa.int64()),
+                "names": lists(named, [names[i] for u in used for i in u], pa.string()),
+                "sizes": lists(cuts, sizes, pa.int32()),
+                "sources": lists(ends[cuts], np.concatenate(local).astype(np.int32), pa.int32()),
+                "counts": lists(ends[cuts], count, pa.int64()),
+            }
+            batch = pa.record_batch(list(columns.values()), names=list(columns))
+            yield from (batch.slice(i, ROWS) for i in range(0, len(cuts), ROWS))
         self.__init__()
 
-    @staticmethod
-    def _chunk(shard, lang, own, terms, docs, names, sizes, ends, source, count) -> pa.RecordBatch:
-        picked = np.concatenate([np.arange(ends[i] - sizes[i], ends[i]) for i in own]) if len(own) else np.empty(0, np.int64)
-        used, local = np.unique(source[picked], return_inverse=True)
-        words = [terms[i] for i in own]
-        values = [shard, lang, words[0], words, [docs[w] for w in words], [names[i] for i in used], sizes[own], local.astype(np.int32), count[picked]]
-        types = [pa.int32(), pa.string(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int64()), pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64())]
-        named = ["shard", "lang", "first", "terms", "docs", "names", "sizes", "sources", "counts"]
-        return pa.record_batch([pa.array([v], t) for v, t in zip(values, types, strict=True)], names=named)
-
-
-def _gathered(batches: Iterable[pa.RecordBatch], rows: int = 64) -> Iterator[pa.RecordBatch]:
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        held.append(batch)
-        if len(held) == rows:
-            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-            held = []
-    if held:
-        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-
 
 def _runs(shards: int, entries: int):
     def index(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def chunks() -> Iterator[pa.RecordBatch]:
-            block = _Block()
-            for batch in slices(batches, "text"):
-                langs, sources = batch.column("lang").to_pylist(), batch.column("source").to_pylist()
-                for lang, source, text in zip(langs, sources, batch.column("text"), strict=True):
-                    block.add(lang, source, text.as_buffer().to_pybytes())
-                    if block.entries >= entries:
-                        yield from block.run(shards)
-            yield from block.run(shards)
-
-        return _gathered(chunks())
+        block = _Block()
+        for batch in slices(batches, "text"):
+            langs, sources = batch.column("lang").to_pylist(), batch.column("source").to_pylist()
+            for lang, source, text in zip(langs, sources, batch.column("text"), strict=True):
+                block.add(lang, source, text.as_buffer().to_pybytes())
+                if block.entries >= entries:
+                    yield from block.run(shards)
+        yield from block.run(shards)
 
     return index
 
 
-def _chunks_of(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
-    """Chunks as ``(lang, first, terms, docs, names, offsets, sources, counts)``, in the order they arrive."""
+class _Chunk:
+    """A chunk of a run while the merge is in it: its terms in order, and where it stands."""
+
+    def __init__(self, row: dict[str, pa.Scalar]) -> None:
+        values = lambda c: row[c].values.to_numpy(zero_copy_only=False).tolist()
+        self.lang, self.first, self.names = row["lang"].as_py(), row["first"].as_py(), row["names"].as_py()
+        self.terms, self.docs, self.sources, self.counts = map(values, ("terms", "docs", "sources", "counts"))
+        self.ends = [0, *itertools.accumulate(values("sizes"))]
+        self.at = 0
+
+
+def _chunks_of(batches: Iterable[pa.RecordBatch]) -> Iterator[_Chunk]:
     for batch in batches:
-        columns = {n: batch.column(n) for n in batch.schema.names}
+        columns = {n: batch.column(n) for n in batch.schema.names if n != "shard"}
         for i in range(batch.num_rows):
-            row = {n: c[i] for n, c in columns.items()}
-            sizes = row["sizes"].values.to_numpy(zero_copy_only=False)
-            yield (
-                row["lang"].as_py(),
-                row["first"].as_py(),
-                row["terms"].as_py(),
-                row["docs"].as_py(),
-                row["names"].as_py(),
-                np.concatenate([[0], np.cumsum(sizes)]).tolist(),
-                row["sources"].as_py(),
-                row["counts"].as_py(),
-            )
-
-
-def _merged(chunks: Iterator[tuple]) -> Iterator[tuple[str, bytes, int, dict[str, int]]]:
+            yield _Chunk({n: c[i] for n, c in columns.items()})
+
+
+def _merged(chunks: Iterator[_Chunk], min_docs: int) -> Iterator[tuple[str, bytes, int, dict[str, int]]]:
     """Terms in order with their documents and counts by source; a chunk is opened when the heap reaches its first term."""
     waiting = next(chunks, None)
-    heap: list[tuple[str, bytes, int]] = []
-    opened: dict[int, list] = {}
-    serial = 0
+    heap: list[tuple[bytes, int]] = []
+    opened: dict[int, _Chunk] = {}
+    lang, serial = "", 0
     while heap or waiting:
-        while waiting and (not heap or waiting[:2] <= heap[0][:2]):
-            heapq.heappush(heap, (waiting[0], waiting[1], serial))
-            opened[serial] = [0, waiting]
+        if not heap:
+            lang = waiting.lang
+        while waiting and waiting.lang == lang and (not heap or waiting.first <= heap[0][0]):
+            heapq.heappush(heap, (waiting.first, serial))
+            opened[serial] = waiting
             serial += 1
             waiting = next(chunks, None)
-        lang, term = heap[0][:2]
-        docs, by_source = 0, {}
-        while heap and heap[0][:2] == (lang, term):
-            number = heap[0][2]
-            at, chunk = opened[number]
-            _, _, terms, chunk_docs, names, ends, sources, counts = chunk
-            docs += chunk_docs[at]
-            for j in range(ends[at], ends[at + 1]):
-                name = names[sources[j]]
-                by_source[name] = by_source.get(name, 0) + counts[j]
-            if at + 1 < len(terms):
-                opened[number][0] = at + 1
-                heapq.heapreplace(heap, (lang, terms[at + 1], number))
+        term, docs, parts = heap[0][0], 0, []
+        while heap and heap[0][0] == term:
+            number = heap[0][1]
+            chunk = opened[number]
+            docs += chunk.docs[chunk.at]
+            parts.append((chunk, chunk.at))
+            chunk.at += 1
+            if chunk.at < len(chunk.terms):
+                heapq.heapreplace(heap, (chunk.terms[chunk.at], number))
             else:
                 heapq.heappop(heap)
                 del opened[number]
+        if docs < min_docs:
+            continue
+        by_source: dict[str, int] = {}
+        for chunk, at in parts:
+            for j in range(chunk.ends[at], chunk.ends[at + 1]):
+                name = chunk.names[chunk.sources[j]]
+                by_source[name] = by_source.get(name, 0) + chunk.counts[j]
         yield lang, term, docs, by_source
 
 
@@ -187,16 +191,9 @@ def _frequencies(min_docs: int):
     schema = pa.schema([("lang", pa.string()), ("term", pa.binary()), ("docs", pa.int64()), ("sources", pa.list_(pa.string())), ("counts", pa.list_(pa.int64()))])
 
     def merge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows: list[tuple] = []
-        for lang, term, docs, by_source in _merged(_chunks_of(batches)):
-            if docs >= min_docs:
-                names = sorted(by_source)
-                rows.append((lang, term, docs, names, [by_source[n] for n in names]))
-            if len(rows) == 2048:
-                yield pa.record_batch(list(map(pa.array, zip(*rows), schema.types)), schema=schema)
-                rows = []
-        if rows:
-            yield pa.record_batch(list(map(pa.array, zip(*rows), schema.types)), schema=schema)
+        kept = ((lang, term, docs, *zip(*sorted(by.items()), strict=True)) for lang, term, docs, by in _merged(_chunks_of(batches), min_docs))
+        while rows := list(itertools.islice(kept, 2048)):
+            yield pa.record_batch(list(map(pa.array, zip(*rows, strict=True), schema.types)), schema=schema)
 
     return merge
 
@@ -218,6 +215,17 @@ def _probability(count: Column, total: Column, terms: Column) -> Column:
     return F.call_function("div", above, below) + F.lit(1)
 
 
+def _side(at: np.ndarray, row: np.ndarray, p: np.ndarray, zero: np.ndarray, side: int, rows: int) -> tuple:
+    """The sources of one side as dense columns: which rows have them, their probabilities, and those at no occurrence."""
+    own = at // SIDE == side
+    column, width = at[own] % SIDE, int((at[own] % SIDE).max()) + 1
+    here, dense, none = np.zeros((rows, width), bool), np.zeros((rows, width), np.int64), np.zeros(width, np.int64)
+    here[row[own], column] = True
+    dense[row[own], column] = p[own]
+    none[column] = zero[own]
+    return int(side), here, dense, none
+
+
 def _corrections(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sums over shared terms by pair of sources, in blocks of ``SIDE`` sources a side."""
     schema = pa.schema([("lang", pa.string()), ("a", pa.string()), ("b", pa.string()), ("correction", pa.int64())])
@@ -236,21 +244,26 @@ def _corrections(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums.clear()
 
     for batch in batches:
-        for row in batch.to_pylist():
-            lang, each = row["lang"], row["each"]
-            own = names.setdefault(lang, {})
-            at = np.array([own.setdefault(x["source"], len(own)) for x in each])
-            p, zero = np.array([x["p"] for x in each], np.int64), np.array([x["zero"] for x in each], np.int64)
-            blocks = at // SIDE
-            for u in np.unique(blocks):
-                for v in np.unique(blocks):
-                    a, b = blocks == u, blocks == v
-                    pa_, za, pb, zb = p[a][:, None], zero[a][:, None], p[b][None], zero[b][None]
-                    change = np.abs(pa_ - pb) - np.abs(pa_ - zb) - np.abs(za - pb) + np.abs(za - zb)
-                    block = sums.get((lang, int(u), int(v)))
-                    if block is None:
-                        block = sums[lang, int(u), int(v)] = np.zeros((SIDE, SIDE), np.int64)
-                    block[np.ix_(at[a] % SIDE, at[b] % SIDE)] += change
+        for start in range(0, batch.num_rows, DENSE_ROWS):
+            part = batch.slice(start, DENSE_ROWS)
+            lists = part.column("each")
+            each, sizes = lists.flatten(), lists.value_lengths().to_numpy()
+            langs = part.column("lang").to_numpy(zero_copy_only=False)
+            row = np.repeat(np.arange(part.num_rows), sizes)
+            p, zero = each.field("p").to_numpy(), each.field("zero").to_numpy()
+            sources = each.field("source").to_numpy(zero_copy_only=False)
+            for lang in dict.fromkeys(langs):
+                mine = np.flatnonzero(langs[row] == lang)
+                own = names.setdefault(lang, {})
+                at = np.fromiter((own.setdefault(x, len(own)) for x in sources[mine]), np.int64, len(mine))
+                sides = [_side(at, row[mine], p[mine], zero[mine], u, part.num_rows) for u in np.unique(at // SIDE)]
+                for (u, here, pu, zu), (v, there, pv, zv) in itertools.product(sides, sides):
+                    block = sums.setdefault((lang, u, v), np.zeros((SIDE, SIDE), np.int64))
+                    for a in np.flatnonzero(here.any(axis=0)):
+                        rows = here[:, a]
+                        x, z = pu[rows, a][:, None], zu[a]
+                        change = np.abs(x - pv[rows]) - np.abs(x - zv) - np.abs(z - pv[rows]) + np.abs(z - zv)
+                        block[a, : there.shape[1]] += (change * there[rows]).sum(axis=0)
             if len(sums) > 16:
                 yield from out()
     yield from out()

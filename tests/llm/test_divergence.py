@@ -90,9 +90,11 @@ def test_one_run_in_memory_at_a_time():
     def chunks():
         for i in range(50):
             opened.append(i)
-            yield "en", b"%03d" % i, [b"%03d" % i], [1], ["s"], [0, 1], [0], [2]
+            word = b"%03d" % i
+            row = {"lang": "en", "first": word, "names": ["s"], "terms": [word], "docs": [1], "sources": [0], "counts": [2], "sizes": [1]}
+            yield divergence._Chunk({k: pa.scalar(v) for k, v in row.items()})
 
-    merged = divergence._merged(chunks())
+    merged = divergence._merged(chunks(), 1)
     for i in range(10):
         assert next(merged) == ("en", b"%03d" % i, 1, {"s": 2})
         assert len(opened) <= i + 3
