@@ -1 +1 @@
-"""Learners: linear in SQL, boosted trees per series, and one pooled Spark ML fit."""
+"""Learners: linear in SQL, least squares and boosted trees for every series, and one pooled Spark ML fit."""

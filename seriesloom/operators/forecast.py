@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seriesloom.functions.scalar import half_even
-from seriesloom.learners import linear, pooled, squares
-from seriesloom.operators import frames
+from seriesloom.learners import boosted, linear, pooled, squares
+from seriesloom.operators import frames, gates
 from seriesloom.operators.schema import FEATURES, FEATURES_WITH_PRICE
 
 
@@ -56,18 +57,69 @@ def _told(rows: DataFrame, key: str, sound: Column) -> DataFrame:
     return keep.select(only("date"), only("prediction"), F.col(key).cast("string").alias(key), "item_ref", only("step"), status, error)
 
 
+Gate = Callable[[DataFrame], DataFrame]
+
+
+def _gated(series: DataFrame, gate: Gate | None) -> DataFrame:
+    return gate(series).where("gate_reason = 'ok'") if gate else series
+
+
+def _series(rows: DataFrame, key: str, features: Sequence[str], more: Sequence[Column]) -> DataFrame:
+    """One pass over the rows: each series' profile, newest item, features of its last row, and ``more`` aggregates."""
+    item = F.max_by("item_ref", "date") if "item_ref" in rows.columns else F.lit(None).cast("string")
+    last = F.max_by(_known(features), "date").alias("known")
+    return rows.groupBy(key).agg(*gates.profile_columns(), item.alias("item_ref"), last, *more)
+
+
 def direct(
-    feat: DataFrame, as_of: str | date, horizon: int, key: str = "series_id", features: Sequence[str] = FEATURES, anchor: str = "as_of"
+    feat: DataFrame,
+    as_of: str | date,
+    horizon: int,
+    key: str = "series_id",
+    features: Sequence[str] = FEATURES,
+    anchor: str = "as_of",
+    gate: Gate | None = None,
 ) -> DataFrame:
     """``date, prediction, key, item_ref, step, status, error``: least squares for each series and step.
 
-    A series without training rows gives one row with its error and leaves the others alone.
+    All of it is one aggregation of the rows: the sums of every step, the last row, and the profile that ``gate`` judges
+    (it adds ``gate_reason``; only series that are ``ok`` are forecast). A series without training rows gives one row with
+    its error and leaves the others alone.
     """
-    models = squares.fit(frames.direct_frame(feat, key, horizon, features, long=True), [key, "step"], features)
-    days = frames.future_calendar(_item(feat, key), key, as_of, horizon, anchor)
-    last = frames.last_features(feat, key, features).drop("date").join(_item(feat, key), key)
-    rows = days.join(last, key).join(models, [key, "step"], "left")
-    return _told(rows.withColumn("prediction", half_even(_fitted(features))), key, F.col("mean").isNotNull())
+    rows = squares.shifted(feat, [key], features, frames.ahead(key, horizon))
+    series = _gated(_series(rows, key, features, squares.sums(len(features), horizon)), gate)
+    models = squares.solved(series, len(features), horizon)
+    steps = models.withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(horizon))))
+    start = {"as_of": F.lit(as_of).cast("date"), "last_date": F.col("last_date")}[anchor]
+    at = lambda c: F.get(c, F.col("step") - 1)
+    raw = squares.value(F.col("known"), at("mean"), F.col("center"), at("coef"))
+    found = steps.withColumns({"date": F.date_add(start, F.col("step")), "prediction": half_even(raw)})
+    return _told(found, key, F.col("mean").isNotNull())
+
+
+def direct_boosted(
+    feat: DataFrame,
+    as_of: str | date,
+    horizon: int,
+    options: boosted.Options,
+    key: str = "series_id",
+    features: Sequence[str] = FEATURES,
+    anchor: str = "as_of",
+    gate: Gate | None = None,
+) -> DataFrame:
+    """The same from boosted trees for each series and step, all grown together; every step runs all rounds."""
+    series = _gated(_series(feat, key, features, []), gate)
+    y = frames.ahead(key, horizon)
+    rows = feat.select(key, F.col(key).cast("string").alias("series"), "date", _known(features).alias("x"), y.alias("y"), F.lit(False).alias("test"))
+    rows = rows.where("y is not null").join(series.select(key), key, "left_semi")
+    models = boosted.fit(rows, len(features), horizon, replace(options, patience=None))
+    by_step = models.select(F.col("series").alias("_s"), (F.col("step") + 1).alias("_n"), "base", "trees")
+    steps = series.withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(horizon))))
+    found = steps.join(by_step, (F.col(key).cast("string") == F.col("_s")) & (F.col("step") == F.col("_n")), "left")
+    start = {"as_of": F.lit(as_of).cast("date"), "last_date": F.col("last_date")}[anchor]
+    raw = boosted.value(F.col("known"), F.col("base"), F.col("trees"), options.depth)
+    found = found.withColumns({"date": F.date_add(start, F.col("step")), "prediction": half_even(raw)})
+    return _told(found, key, F.col("trees").isNotNull())
 
 
 #: What a recursive forecast knows about a day: the last values and the day itself.
@@ -87,27 +139,38 @@ def recursive(
     key: str = "series_id",
     months: int = 1,
     features: Sequence[str] = ("lag_1", "rolling_mean_3", "day_of_week", "day_of_month"),
+    trees: boosted.Options | None = None,
 ) -> DataFrame:
     """``date, prediction, key, item_ref, step, status, error``: one model per series, fed with its own predictions.
 
     ``rolling_mean_3`` should be built with ``include_current=False``, since the mean at a forecast day cannot hold that
-    day. A series' state is its last three values; the steps are folded over it inside one row.
+    day. A series' state is its last three values; the steps are folded over it inside one row. Models are least squares,
+    or with ``trees`` boosted trees whose rounds the holdout stops.
     """
-    train = frames.holdout_split(feat, key, months).where("split = 'train'")
     start = F.lit(as_of).cast("date")
-    rows = _item(feat, key).join(frames.last_values(feat, key), key).join(squares.fit(train, [key], features, "quant"), key, "left")
+    series = _item(feat, key).join(frames.last_values(feat, key), key)
+    if trees:
+        models = train_boosted(feat, trees, key, months, features).where("status = 'ok'").select(F.col("series_id").alias("_s"), "base", "trees")
+        rows = series.join(models, F.col(key).cast("string") == F.col("_s"), "left")
+        fitted = lambda known: boosted.value(known, F.col("base"), F.col("trees"), trees.depth)
+        sound = F.col("trees").isNotNull()
+    else:
+        train = frames.holdout_split(feat, key, months).where("split = 'train'")
+        rows = series.join(squares.fit(train, [key], features, "quant"), key, "left")
+        fitted = lambda known: squares.value(known, F.col("mean"), F.col("center"), F.col("coef"))
+        sound = F.col("mean").isNotNull()
 
     def step(state: Column, n: Column) -> Column:
         tail = state["tail"]
         known = F.array(*[STATE[f](tail, F.date_add(start, n)).cast("double") for f in features])
-        new = F.rint(squares.value(known, F.col("mean"), F.col("center"), F.col("coef")))
+        new = F.rint(fitted(known))
         return F.struct(F.array(tail[1], tail[2], new).alias("tail"), F.concat(state["out"], F.array(new)).alias("out"))
 
     first = F.struct(F.col("last_values").alias("tail"), F.array().cast("array<double>").alias("out"))
     path = F.aggregate(F.sequence(F.lit(1), F.lit(horizon)), first, step, lambda state: state["out"])
     each = rows.withColumn("_p", path).select("*", F.posexplode("_p").alias("_n", "_v"))
     each = each.withColumn("step", F.col("_n") + 1).withColumn("prediction", F.col("_v").cast("long"))
-    return _told(each.withColumn("date", F.date_add(start, F.col("step"))), key, F.col("mean").isNotNull())
+    return _told(each.withColumn("date", F.date_add(start, F.col("step"))), key, sound)
 
 
 def train(feat: DataFrame, key: str = "series_id", months: int = 1, features: Sequence[str] = FEATURES_WITH_PRICE) -> DataFrame:
@@ -142,8 +205,54 @@ def score(feat: DataFrame, models: DataFrame, key: str = "series_id") -> DataFra
     return rows.select("series_id", "date", found.alias("prediction"))
 
 
+def train_boosted(
+    feat: DataFrame, options: boosted.Options = boosted.Options(), key: str = "series_id", months: int = 1, features: Sequence[str] = FEATURES_WITH_PRICE
+) -> DataFrame:
+    """The model table of boosted trees: one row per series, with its trees as arrays.
+
+    The holdout of ``months`` decides how many rounds a series keeps (``best_round``); ``importance`` is each feature's
+    share of the mean gain of its splits, ``gain_share`` that of the summed gain.
+    """
+    split = frames.holdout_split(feat, key, months)
+    test = (F.col("split") == "test").alias("test")
+    series = F.col(key).cast("string").alias("series")
+    rows = split.where("quant is not null and not isnan(quant)").select(series, "date", _known(features).alias("x"), F.array("quant").alias("y"), test)
+    models = boosted.fit(rows, len(features), 1, options)
+    found = feat.select(F.col(key).cast("string").alias("series_id")).distinct().join(models, F.col("series_id") == F.col("series"), "left")
+    mean = F.zip_with("gains", "splits", lambda g, n: F.when(n > 0, g / n).otherwise(0.0))
+
+    def share(c: Column) -> Column:
+        total = F.aggregate(c, F.lit(0.0), lambda a, b: a + b)
+        return F.transform(c, lambda v: F.when(total > 0, v / total).otherwise(0.0))
+
+    sound = F.col("trees").isNotNull()
+    return found.select(
+        "series_id",
+        F.array(*[F.lit(f) for f in features]).alias("features"),
+        "base",
+        "trees",
+        F.coalesce("train_rows", F.lit(0)).cast("long").alias("train_rows"),
+        "best_round",
+        F.col("best_loss").alias("holdout_rmse"),
+        share(mean).alias("importance"),
+        share(F.col("gains")).alias("gain_share"),
+        F.when(sound, "ok").otherwise("failed").alias("status"),
+        F.when(~sound, F.lit("no training rows")).alias("error"),
+    )
+
+
+def score_boosted(feat: DataFrame, models: DataFrame, key: str = "series_id", depth: int = 3) -> DataFrame:
+    """``key, date, prediction`` of all rows whose series has stored trees, walked by column functions."""
+    wanted = sorted({*FEATURES_WITH_PRICE} & {*feat.columns})
+    named = F.map_from_arrays(F.array(*[F.lit(f) for f in wanted]), _known(wanted)).alias("_known")
+    sound = models.where("status = 'ok'").select("series_id", "features", "base", "trees")
+    rows = feat.select(F.col(key).cast("string").alias("series_id"), "date", named).join(sound, "series_id")
+    known = F.transform("features", lambda f: F.try_element_at("_known", f))
+    return rows.select("series_id", "date", boosted.value(known, F.col("base"), F.col("trees"), depth).alias("prediction"))
+
+
 def feature_importance(models: DataFrame) -> DataFrame:
-    """Share of the spread by series and feature, largest first."""
+    """Each feature's share in its series' model, largest first."""
     zipped = F.explode(F.arrays_zip("features", "importance")).alias("z")
     rows = models.where("status = 'ok'").select("series_id", zipped)
     return rows.select("series_id", F.col("z.features").alias("feature"), F.col("z.importance").alias("importance")).orderBy(

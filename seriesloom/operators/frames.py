@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -20,6 +20,13 @@ def series_calendar(daily: DataFrame, series_id: str, start: str | date, end: st
     return days.join(daily.where(F.col(key) == series_id), [key, "date"], "left")
 
 
+def ahead(key: str, horizon: int, target: str = "quant") -> Column:
+    """The targets of the ``horizon`` rows after each row; null where fewer follow."""
+    after = W.partitionBy(key).orderBy("date").rowsBetween(1, horizon)
+    y = F.collect_list(F.col(target).cast("double")).over(after)
+    return F.when(F.size(y) == horizon, y)
+
+
 def direct_frame(feat: DataFrame, key: str = "series_id", horizon: int = 30, features: Sequence[str] = FEATURES, long: bool = False) -> DataFrame:
     """Features of each row and the target of the ``horizon`` rows after it: an array ``y``, or a row per ``step``."""
     ahead = W.partitionBy(key).orderBy("date").rowsBetween(1, horizon)

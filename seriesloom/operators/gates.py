@@ -15,16 +15,20 @@ MIN_SPAN_DAYS = 365
 MIN_TRAIN = 10
 
 
-def series_profile(feat: DataFrame, key: str = "series_id") -> DataFrame:
-    """First and last day, rows, span in days, and rows without a target."""
+def profile_columns() -> list[Column]:
+    """First and last day, rows, span in days, and rows without a target, as aggregates."""
     missing = F.col("quant").isNull() | F.isnan("quant")
-    return feat.groupBy(key).agg(
+    return [
         F.min("date").alias("first_date"),
         F.max("date").alias("last_date"),
         F.count("*").alias("rows"),
         F.datediff(F.max("date"), F.min("date")).alias("span_days"),
         F.count_if(missing).alias("missing_target"),
-    )
+    ]
+
+
+def series_profile(feat: DataFrame, key: str = "series_id") -> DataFrame:
+    return feat.groupBy(key).agg(*profile_columns())
 
 
 def train_rows(feat: DataFrame, key: str = "series_id", months: int = 1) -> DataFrame:

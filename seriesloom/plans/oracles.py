@@ -51,19 +51,18 @@ def _features(key: str = "p_brand") -> str:
     r AS (PARTITION BY series_id ORDER BY date ROWS BETWEEN 2 PRECEDING AND CURRENT ROW))"""
 
 
-def _long(horizon: int, key: str = "p_brand") -> str:
-    return f"""{_features(key)}, numbered AS MATERIALIZED (
-  SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY date) AS i, count(*) OVER (PARTITION BY series_id) AS n FROM feat
-), long AS (
-  SELECT series_id, date, lag_1, CAST(generate_subscripts(v, 1) AS INTEGER) AS step, unnest(v) AS y FROM (
-    SELECT *, list(quant) OVER (PARTITION BY series_id ORDER BY date ROWS BETWEEN 1 FOLLOWING AND {horizon} FOLLOWING) AS v FROM numbered)
-  WHERE len(v) = {horizon})"""
-
-
 def _linear(horizon: int = HORIZON) -> str:
-    return f"""{_long(horizon)}, fitted AS (
-  SELECT series_id, step, regr_slope(y, lag_1) AS slope, regr_intercept(y, lag_1) AS intercept, avg(y) AS mean
-  FROM long WHERE lag_1 IS NOT NULL GROUP BY series_id, step), tail AS (
+    """A line a step: the targets of all steps side by side by ``lead``, fitted in one grouping."""
+    steps = range(1, horizon + 1)
+    each = lambda f: "[" + ", ".join(f.format(h) for h in steps) + "]"
+    leads = ", ".join(f"lead(quant, {h}) OVER w AS y{h}" for h in steps)
+    return f"""{_features()}, numbered AS (
+  SELECT series_id, lag_1, row_number() OVER w AS i, count(*) OVER (PARTITION BY series_id) AS n, {leads}
+  FROM feat WINDOW w AS (PARTITION BY series_id ORDER BY date)), sums AS (
+  SELECT series_id, {each("regr_slope(y{0}, lag_1)")} AS slopes, {each("regr_intercept(y{0}, lag_1)")} AS intercepts, {each("avg(y{0})")} AS means
+  FROM numbered WHERE i <= n - {horizon} AND lag_1 IS NOT NULL GROUP BY series_id), fitted AS (
+  SELECT series_id, unnest(range(1, {horizon + 1}))::INTEGER AS step, unnest(slopes) AS slope, unnest(intercepts) AS intercept, unnest(means) AS mean
+  FROM sums), tail AS (
   SELECT series_id, lag_1 FROM numbered WHERE i = n), linear AS (
   SELECT fitted.series_id, step, {AS_OF} + step AS date,
     CASE WHEN slope IS NULL OR isnan(slope) OR tail.lag_1 IS NULL THEN mean ELSE intercept + slope * tail.lag_1 END AS prediction_raw

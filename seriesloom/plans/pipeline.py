@@ -25,9 +25,7 @@ def featured(raw: DataFrame, date_mode: str = "wall_clock", include_current: boo
 
 def production(raw: DataFrame, as_of: str | date, horizon: int = 90) -> DataFrame:
     """Direct forecasts of all series that pass the gates."""
-    feat = featured(raw)
-    gated = gates.gate_direct(gates.series_profile(feat), as_of, horizon)
-    return forecast.direct(gates.passing(feat, gated), as_of, horizon)
+    return forecast.direct(featured(raw), as_of, horizon, gate=lambda series: gates.gate_direct(series, as_of, horizon))
 
 
 def training_view(raw: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -285,9 +285,8 @@ def worst_days(spark: Spark, d: str) -> Frame:
 
 def forecast_direct(spark: Spark, d: str) -> Frame:
     as_of = _as_of(spark, d)
-    feat = _features(spark, d)
-    gated = gates.gate_direct(gates.series_profile(feat), as_of, HORIZON)
-    return writers.forecast_rows(forecast.direct(gates.passing(feat, gated), as_of, HORIZON))
+    gate = lambda series: gates.gate_direct(series, as_of, HORIZON)
+    return writers.forecast_rows(forecast.direct(_features(spark, d), as_of, HORIZON, gate=gate))
 
 
 def forecast_recursive(spark: Spark, d: str) -> Frame:

@@ -3,10 +3,11 @@ from __future__ import annotations
 from datetime import date, timedelta
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from seriesloom.learners import squares
-from seriesloom.operators import features, forecast
+from seriesloom.operators import features, forecast, frames, gates
 from seriesloom.operators.schema import DAILY, FORECAST
 from seriesloom.plans import pipeline
 from seriesloom.sources import readers, writers
@@ -131,3 +132,36 @@ def test_jdbc_round_trip(spark, tmp_path):
     assert whole.count() == split.count() == 20 and split.rdd.getNumPartitions() == 4
     assert writers.forecasts_to_jdbc(rows, url, "stored", options, "replace")
     assert sorted(readers.jdbc(spark, url, "stored", options).collect()) == sorted(rows.collect())
+
+
+@pytest.mark.parametrize("n", [50, 365, 1000, 2557])
+@pytest.mark.parametrize("price", [0.1, 0.2, 19.99, 123.45, 333333.33])
+def test_constant_features_have_no_slope(n, price):
+    """Products of a constant's distances from itself are zero, whatever its digits."""
+    assert np.sum(np.full(n, price) - price) == 0
+    y = np.arange(n, dtype=float) % 7
+    low = [float(n), y.sum(), 0.0, 0.0, 0.0, price, 0.0]
+    found = squares._solution(pd.Series([low]), 1, 1)
+    assert found["coef"][0] == [[0.0]] and found["center"][0] == [price]
+
+
+def test_constant_price_on_spark(spark):
+    rows = [(g, float(i % 9), p, float(i % 9) * 2 + 5) for g, p in enumerate([0.1, 19.99, 123.45, 333333.33]) for i in range(1000)]
+    frame = spark.createDataFrame(rows, "g long, a double, price double, y double").repartition(7)
+    for r in squares.fit(frame, ["g"], ["a", "price"]).collect():
+        assert r["coef"] == pytest.approx([2.0, 0.0]) and r["coef"][1] == 0 and r["share"] == [1.0, 0.0]
+
+
+def test_all_steps_from_one_pass_equal_fits_of_each(spark):
+    rnd = np.random.default_rng(3)
+    values = rnd.integers(0, 50, 90).tolist()
+    feat = features.add_features(series(spark, values).union(series(spark, values[::-1], "b")))
+    names = ["lag_1", "rolling_mean_3", "day_of_week"]
+    long = frames.direct_frame(feat, "series_id", 5, names, long=True)
+    want = {(r["series_id"], r["step"]): r for r in squares.fit(long, ["series_id", "step"], names).collect()}
+    rows = squares.shifted(feat, ["series_id"], names, frames.ahead("series_id", 5))
+    for r in squares.solved(rows.groupBy("series_id").agg(*squares.sums(3, 5)), 3, 5).collect():
+        for step in range(1, 6):
+            w = want[r["series_id"], step]
+            assert r["mean"][step - 1] == pytest.approx(w["mean"]) and r["coef"][step - 1] == pytest.approx(w["coef"])
+            assert r["train_rows"] == w["train_rows"]
