@@ -168,25 +168,18 @@ def fit(train: DataFrame, fairness: float = FAIRNESS, ridge: float = RIDGE, step
     """
     rows = written(train.mapInArrow(_featured(swaps(kinds)), "label double, features array<int>, swapped array<int>").coalesce(PARTS), "toxicity-features")
 
-    def count(batch: pa.RecordBatch, total: np.ndarray) -> None:
-        values, row = _ragged(batch.column("features"))
-        label = batch.column("label").to_numpy()
-        total[:BUCKETS] += np.bincount(values, minlength=BUCKETS)
-        total[BUCKETS : 2 * BUCKETS] += np.bincount(values, label[row], minlength=BUCKETS)
-        total[-2:] += len(label), label.sum()
-
-    counts = _summed(rows, count, 2 * BUCKETS + 2)
-    n, toxic = counts[-2:]
+    n, toxic = rows.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0.0))).first()
     base = (toxic + 0.5) / (n + 1)
     bias = float(np.log(base / (1 - base)))
     if toxic in (0, n):
         return Model(np.empty(0, np.int32), np.empty(0), bias)
-    seen, hits = counts[:BUCKETS], counts[BUCKETS : 2 * BUCKETS]
-    off = (hits - seen * base) / np.sqrt(np.maximum(seen * base * (1 - base), 1e-9))
-    off[(seen < LEAST_TEXTS) | (np.abs(off) < CONTRAST)] = 0
-    kept = np.sort(np.argsort(-np.abs(off), kind="stable")[: min(FEATURES, np.count_nonzero(off))]).astype(np.int32)
-    clean = n - toxic
-    scale = np.log((hits[kept] + 0.5) / (toxic + 1)) - np.log((seen[kept] - hits[kept] + 0.5) / (clean + 1))
+    counts = rows.select("label", F.explode("features").alias("feature")).groupBy("feature").agg(F.count("*").alias("seen"), F.sum("label").alias("hits"))
+    off = F.abs(F.col("hits") - F.col("seen") * base) / F.sqrt(F.col("seen") * (base * (1 - base)))
+    marked = counts.withColumn("off", off).where((F.col("seen") >= LEAST_TEXTS) & (F.col("off") >= CONTRAST))
+    best = sorted(marked.orderBy(F.col("off").desc(), "feature").limit(FEATURES).collect())
+    kept = np.array([r["feature"] for r in best], np.int32)
+    seen, hits = (np.array([r[c] for r in best], float) for c in ("seen", "hits"))
+    scale = np.log((hits + 0.5) / (toxic + 1)) - np.log((seen - hits + 0.5) / (n - toxic + 1))
     size = len(kept)
     bare = Model(kept, np.zeros(size), bias)
 
