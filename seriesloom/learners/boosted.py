@@ -17,7 +17,6 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from seriesloom.plans.scratch import Scratch
@@ -200,55 +199,94 @@ def _advanced(size: int, steps: int, depth: int):
     return task
 
 
+KEYS = ["series", "round", "step", "node", "feature", "bin"]
+
+
+def _starts(*columns: np.ndarray) -> np.ndarray:
+    """Where a run of equal rows begins."""
+    new = np.zeros(len(columns[0]), bool)
+    new[:1] = True
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1]
+    return np.flatnonzero(new)
+
+
+def _best(rows: pa.Table, o: Options, schema: pa.Schema) -> pa.RecordBatch:
+    """The best split of each node from sorted sums: all cuts, missing values to either side."""
+    column = lambda c: rows.column(c).to_numpy()
+    series, number, step, node, feature, bin_ = map(column, KEYS)
+    code = rows.column("series").combine_chunks().dictionary_encode().indices.to_numpy()
+    cell = _starts(code, step, node, feature, bin_)
+    g, n = np.add.reduceat(column("g"), cell), np.add.reduceat(column("n"), cell)
+    code, step, node, feature, bin_, at = code[cell], step[cell], node[cell], feature[cell], bin_[cell], cell
+    line = _starts(code, step, node, feature)
+    which = np.repeat(np.arange(len(line)), np.diff(np.append(line, len(code))))
+    all_g, all_n = np.add.reduceat(g, line)[which], np.add.reduceat(n, line)[which]
+    upto = lambda v: np.cumsum(v) - (np.cumsum(v) - v)[line][which]
+    gl, nl = upto(g), upto(n)
+    none = lambda v: np.where(bin_[line] == 0, v[line], 0)[which]
+    unit = column("unit")[at]
+
+    def gain(left: np.ndarray, many: np.ndarray) -> np.ndarray:
+        part = lambda v, k: (v * unit) ** 2 / (k + o.ridge)
+        found = part(left, many) + part(all_g - left, all_n - many) - part(all_g, all_n)
+        sound = (many >= o.least_rows) & (all_n - many >= o.least_rows) & (found > LEAST_GAIN) & (node >= 0)
+        return np.where(sound, found, 0.0)
+
+    with_missing, without = gain(gl, nl), gain(gl - none(g), nl - none(n))
+    missing_left = with_missing >= without
+    gains = np.where(missing_left, with_missing, without)
+    gl, nl = gl - np.where(missing_left, 0, none(g)), nl - np.where(missing_left, 0, none(n))
+    group = _starts(code, step, node)
+    own = np.repeat(np.arange(len(group)), np.diff(np.append(group, len(code))))
+    top = np.flatnonzero(gains == np.maximum.reduceat(gains, group)[own])
+    pick = top[_starts(own[top])]  # the first feature and cut among equals
+    split = gains[pick] > 0
+    leaf = lambda v, k: o.rate * v[pick] * unit[pick] / (k[pick] + o.ridge)
+    values = {
+        "series": series[at][pick],
+        "round": number[at][pick],
+        "step": step[pick],
+        "node": node[pick],
+        "feature": np.where(split, feature[pick], -1),
+        "cut": bin_[pick],
+        "missing_left": missing_left[pick],
+        "value": leaf(all_g, all_n),
+        "left": leaf(gl, nl),
+        "right": leaf(all_g - gl, all_n - nl),
+        "gain": gains[pick],
+        "g": all_g[pick],
+        "n": all_n[pick],
+        "unit": unit[pick],
+    }
+    return pa.record_batch([pa.array(values[f.name], f.type) for f in schema], schema=schema)
+
+
 def _chosen(hist: DataFrame, o: Options) -> DataFrame:
-    """The best split of every node: all cuts, missing values to either side; a node without one keeps its value."""
-    near = hist.repartition("series", "step")
-    node = ["series", "round", "step", "node"]  # the round is data, so that every pass runs the same compiled code
-    cells = near.groupBy(*node, "feature", "bin").agg(F.sum("g").alias("g"), F.sum("n").alias("n"), F.max("unit").alias("unit"))
-    whole = W.partitionBy(*node, "feature")
-    upto = whole.orderBy("bin").rowsBetween(W.unboundedPreceding, W.currentRow)
-    total = lambda c, w: F.sum(c).over(w)
-    none = lambda c: F.when(F.col("bin") == 0, F.col(c)).otherwise(0)
-    cells = cells.withColumns(
-        {"G": total("g", whole), "N": total("n", whole), "gl": total("g", upto), "nl": total("n", upto), "g0": total(none("g"), whole), "n0": total(none("n"), whole)}
+    """Splits from the sums of all tasks, dealt by series and step; a node without a sound one keeps its value."""
+    names = ["round", "step", "node", "feature", "cut"]
+    schema = pa.schema(
+        [("series", pa.string()), *[(c, pa.int32()) for c in names], ("missing_left", pa.bool_()), *[(c, pa.float64()) for c in ("value", "left", "right", "gain")]]
+        + [("g", pa.int64()), ("n", pa.int64()), ("unit", pa.float64())]
     )
 
-    def leaf(g: Column, n: Column) -> Column:
-        return g * F.col("unit") / (n + o.ridge)
-
-    def side(gl: Column, nl: Column, missing_left: bool) -> Column:
-        gr, nr = F.col("G") - gl, F.col("N") - nl
-        part = lambda g, n: F.pow(g * F.col("unit"), F.lit(2)) / (n + o.ridge)
-        gain = part(gl, nl) + part(gr, nr) - part(F.col("G"), F.col("N"))
-        sound = (nl >= o.least_rows) & (nr >= o.least_rows) & (gain > LEAST_GAIN) & (F.col("node") >= 0)
-        return F.struct(
-            F.when(sound, gain).otherwise(0.0).alias("gain"),
-            (-F.col("feature")).alias("f"),
-            (-F.col("bin")).alias("c"),
-            F.lit(missing_left).alias("missing_left"),
-            leaf(gl, nl).alias("left"),
-            leaf(gr, nr).alias("right"),
-        )
-
-    best = F.greatest(side(F.col("gl"), F.col("nl"), True), side(F.col("gl") - F.col("g0"), F.col("nl") - F.col("n0"), False))
-    rows = cells.groupBy(*node).agg(F.max(best).alias("b"), F.max("G").alias("g"), F.max("N").alias("n"), F.max("unit").alias("unit"))
-    split = F.col("b.gain") > 0
-    return rows.select(
-        "series",
-        "round",
-        "step",
-        "node",
-        F.when(split, -F.col("b.f")).otherwise(-1).cast("int").alias("feature"),
-        (-F.col("b.c")).cast("int").alias("cut"),
-        F.col("b.missing_left").alias("missing_left"),
-        (leaf(F.col("g"), F.col("n")) * o.rate).alias("value"),
-        (F.col("b.left") * o.rate).alias("left"),
-        (F.col("b.right") * o.rate).alias("right"),
-        F.col("b.gain").alias("gain"),
-        "g",
-        "n",
-        "unit",
-    )
+    def choose(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            last = _starts(batch.column("series").to_numpy(zero_copy_only=False), batch.column("step").to_numpy())[-1]
+            if last:  # whatever ends before the batch's last series and step is complete
+                yield _best(pa.Table.from_batches([*held, batch.slice(0, last)]), o, schema)
+                held = []
+            held.append(batch.slice(last))
+            if len(held) > 1 and (held[0].column("series")[0], held[0].column("step")[0]) != (batch.column("series")[0], batch.column("step")[0]):
+                yield _best(pa.Table.from_batches(held[:-1]), o, schema)
+                held = held[-1:]
+        if held:
+            yield _best(pa.Table.from_batches(held), o, schema)
+
+    return hist.repartition("series", "step").sortWithinPartitions("series", "step", "node", "feature", "bin").mapInArrow(choose, SPLIT)
 
 
 def _with_splits(blocks: DataFrame, splits: DataFrame | None, small: bool) -> DataFrame:
@@ -318,9 +356,10 @@ def fit(frame: DataFrame, features: int, steps: int, options: Options = Options(
         block = F.floor(F.datediff("date", F.lit("1970-01-01").cast("date")) / BLOCK_DAYS).alias("block")
         known = F.transform("x", lambda v: F.when(~F.isnan(v), v))
         rows = frame.select("series", block, known.alias("x"), F.col("y").cast("array<double>").alias("y"), "test")
-        edges = work.written(_edges(rows, features, o.bins))
-        grouped = rows.groupBy("series", "block").agg(F.collect_list(F.struct("x", "y", "test")).alias("each")).join(edges, "series")
-        placed = grouped.repartitionByRange("series", "block").sortWithinPartitions("series", "block")
+        lists = work.written(rows.groupBy("series", "block").agg(F.collect_list(F.struct("x", "y", "test")).alias("each")))
+        edges = work.written(_edges(lists.select("series", F.inline("each")), features, o.bins))
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        placed = lists.join(edges, "series").repartitionByRange(parts, "series", "block").sortWithinPartitions("series", "block")
         blocks = work.written(placed.select("series", "unit", "edges", "each").mapInArrow(_packed(features, steps, o.base), BLOCK))
         small = edges.count() * steps * ((1 << o.depth) - 1) * EVERY * 64 <= BROADCAST
         done: list[str] = []

@@ -69,6 +69,12 @@ def _linear(horizon: int = HORIZON) -> str:
   FROM fitted JOIN tail ON fitted.series_id = tail.series_id)"""
 
 
+def _flat() -> str:
+    return f"""{_linear()}, flat AS (
+  SELECT date, CAST(round_even(prediction_raw, 0) AS BIGINT) AS prediction, linear.series_id, item_ref
+  FROM linear JOIN (SELECT series_id, arg_max(item_ref, date) AS item_ref FROM daily GROUP BY series_id) i ON i.series_id = linear.series_id)"""
+
+
 def _holdout() -> str:
     return f"""{_features()}, split AS (
   SELECT *, CASE WHEN date < CAST(max(date) OVER (PARTITION BY series_id) - INTERVAL 1 MONTH AS DATE) THEN 'train' ELSE 'test' END AS split FROM feat
@@ -176,5 +182,9 @@ _SQL = {
     "actual_vs_pred": f"WITH {_holdout()} SELECT series_id, date, round(quant, 4) AS quant, round(prediction, 4) AS prediction FROM holdout",
     "forecast_rmse": f"WITH {_holdout()} SELECT series_id, round(sqrt(avg((quant - prediction) * (quant - prediction))), 4) AS rmse, count(*) AS n FROM holdout WHERE prediction IS NOT NULL GROUP BY series_id",
     "worst_days": f"WITH {_holdout()} SELECT date, round(avg(abs(quant - prediction)), 4) AS mean_error FROM holdout WHERE prediction IS NOT NULL GROUP BY date ORDER BY avg(abs(quant - prediction)) DESC, date LIMIT 10",
+    "available_series": f"WITH {_clean()} SELECT DISTINCT series_id FROM clean",
+    "forecast_scan": f"WITH {_flat()} SELECT * FROM flat",
+    "forecast_slice": f"WITH {_flat()} SELECT * FROM flat WHERE series_id = '{BRAND}' AND date >= {AS_OF} ORDER BY date LIMIT 100",
+    "forecast_page": f"WITH {_flat()} SELECT * FROM flat WHERE date > {AS_OF} + 10 OR (date = {AS_OF} + 10 AND series_id > '{BRAND}') ORDER BY date, series_id LIMIT 100",
 }
 ORACLES = {name: _comparable(sql) for name, sql in _SQL.items()}

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from datetime import timedelta
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesloom.functions.scalar import half_even, lenient_date
+from seriesloom.learners.boosted import Options
 from seriesloom.operators import clean, evaluate, features, forecast, frames, gates, profile, quality
 from seriesloom.plans.pipeline import featured, newest_day
+from seriesloom.plans.scratch import shared_dir
 from seriesloom.sources import readers, writers
 
 HORIZON = 30
@@ -304,6 +307,50 @@ def series_models(spark: Spark, d: str) -> Frame:
     return _models(spark, d)
 
 
+#: Boosted queries run these rounds instead of 1000 at a rate of 0.01; README has figures for more.
+TREES = Options(rounds=12, rate=0.3, patience=4)
+
+
+def forecast_boosted(spark: Spark, d: str) -> Frame:
+    """Trees for each series and each of 30 steps, as ``forecast_direct`` otherwise."""
+    as_of = _as_of(spark, d)
+    gate = lambda series: gates.gate_direct(series, as_of, HORIZON)
+    return writers.forecast_rows(forecast.direct_boosted(_features(spark, d), as_of, HORIZON, TREES, gate=gate))
+
+
+def _boosted(spark: Spark, d: str) -> tuple[Frame, Frame]:
+    """The features, and the model table as it is stored and read again."""
+    feat = _features(spark, d, include_current=False)
+    path = f"{shared_dir(spark)}/boosted-models-{uuid4().hex}"
+    writers.save_models(forecast.train_boosted(feat, TREES), path)
+    return feat, spark.read.parquet(path)
+
+
+def boosted_models(spark: Spark, d: str) -> Frame:
+    _, models = _boosted(spark, d)
+    first = F.round(F.col("trees")[0]["value"][0], 6).alias("first_value")
+    return models.select("series_id", "features", "train_rows", "best_round", F.round("holdout_rmse", 6).alias("holdout_rmse"), F.size("trees").alias("trees"), first, "status", "error")
+
+
+def boosted_importance(spark: Spark, d: str) -> Frame:
+    return forecast.feature_importance(_boosted(spark, d)[1])
+
+
+def boosted_predictions(spark: Spark, d: str) -> Frame:
+    feat, models = _boosted(spark, d)
+    test = frames.holdout_split(feat).where("split = 'test'")
+    return evaluate.actual_vs_pred(feat.select("series_id", "date", "quant"), forecast.score_boosted(test, models))
+
+
+def forecast_recursive_boosted(spark: Spark, d: str) -> Frame:
+    """The recursive form on the month as well, with rounds that the holdout stops."""
+    as_of = _as_of(spark, d)
+    feat = _features(spark, d, include_current=False).withColumn("month", F.month("date"))
+    gated = gates.gate_recursive(gates.series_profile(feat), gates.train_rows(feat), as_of)
+    names = ["lag_1", "rolling_mean_3", "day_of_week", "day_of_month", "month"]
+    return writers.forecast_rows(forecast.recursive(gates.passing(feat, gated), as_of, HORIZON, features=names, trees=TREES))
+
+
 def available_series(spark: Spark, d: str) -> Frame:
     return forecast.available_series(_models(spark, d))
 
@@ -319,14 +366,25 @@ def holdout_predictions(spark: Spark, d: str) -> Frame:
     return evaluate.actual_vs_pred(feat.select("series_id", "date", "quant"), forecast.score(test, models))
 
 
+def _stored(spark: Spark, d: str) -> Frame:
+    """The flat forecast table of the linear learner, whose forecasts SQL can tell."""
+    items = _daily(spark, d).groupBy("series_id").agg(F.max_by("item_ref", "date").alias("item_ref"))
+    return writers.forecast_rows(_linear(spark, d).join(items, "series_id"))
+
+
 def forecast_scan(spark: Spark, d: str) -> Frame:
-    return forecast_direct(spark, d).orderBy("series_id", "date")
+    return _stored(spark, d).orderBy("series_id", "date")
 
 
 def forecast_slice(spark: Spark, d: str) -> Frame:
-    as_of = _as_of(spark, d)
-    sliced = profile.forecast_slice(forecast_direct(spark, d), BRAND, as_of, "2100-01-01")
-    return profile.page(sliced, ["date", "series_id", "item_ref", "prediction"], ["date"], 100)
+    sliced = profile.forecast_slice(_stored(spark, d), BRAND, _as_of(spark, d), "2100-01-01")
+    return profile.page_after(sliced, ["date", "series_id", "item_ref", "prediction"], ["date", "series_id"], 100)
+
+
+def forecast_page(spark: Spark, d: str) -> Frame:
+    """The 100 records after one series' tenth day, by day and series."""
+    after = (_as_of(spark, d) + timedelta(days=10), BRAND)
+    return profile.page_after(_stored(spark, d), ["date", "series_id", "item_ref", "prediction"], ["date", "series_id"], 100, after)
 
 
 def forecast_pooled(spark: Spark, d: str) -> Frame:
@@ -348,6 +406,7 @@ _ALL = [
     direct_frame, last_features, last_values, future_calendar, forecast_direct_linear,
     forecast_direct_linear_90, running_totals, horizon_totals, actual_vs_pred,
     forecast_rmse, worst_days, forecast_direct, forecast_recursive, series_models, available_series,
-    feature_importance, holdout_predictions, forecast_scan, forecast_slice, forecast_pooled, hourly_forecast,
+    feature_importance, holdout_predictions, forecast_boosted, boosted_models, boosted_importance,
+    boosted_predictions, forecast_recursive_boosted, forecast_scan, forecast_slice, forecast_page, forecast_pooled, hourly_forecast,
 ]
 QUERIES = {f.__name__: f for f in _ALL} | {"features": features_}

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date, datetime
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seriesloom.operators.schema import FORECAST, RAW_COLUMNS
+from seriesloom.sources import versions
 
 SERIES_KEYS = {"p_brand": "p_brand", "l_partkey": "l_partkey", "l_suppkey": "l_suppkey"}
 
@@ -56,6 +59,37 @@ def jdbc(
     return reader.options(**(options or {})).load()
 
 
+def _literal(value) -> str:
+    if isinstance(value, datetime):
+        return f"{{ts '{value:%Y-%m-%d %H:%M:%S.%f}'}}"
+    if isinstance(value, date):
+        return f"{{d '{value:%Y-%m-%d}'}}"
+    return str(value) if isinstance(value, int | float | Decimal) else "'" + str(value).replace("'", "''") + "'"
+
+
+def split_points(spark: SparkSession, url: str, view: str, column: str, partitions: int, options: dict[str, str] | None = None) -> list:
+    """Values of ``column`` that cut its rows into ``partitions`` even parts, asked of the server by rank."""
+    ask = lambda sql: spark.read.format("jdbc").option("url", url).options(**(options or {})).option("query", sql).load().first()
+    rows = ask(f"SELECT COUNT({column}) AS n FROM {view}")[0]
+    ranks = sorted({rows * i // partitions for i in range(1, partitions)} - {0})
+    at = f"SELECT {column} FROM {view} WHERE {column} IS NOT NULL ORDER BY {column} OFFSET {{}} ROWS FETCH NEXT 1 ROWS ONLY"
+    return list(dict.fromkeys(ask(at.format(r))[0] for r in ranks if r < rows))
+
+
+def jdbc_even(
+    spark: SparkSession, url: str, view: str, column: str, partitions: int = 8, options: dict[str, str] | None = None, fetch_size: int = 10_000
+) -> DataFrame:
+    """A whole view read in parallel parts of about equal size, without bounds given.
+
+    ``column`` (best an indexed key) may be skewed and have nulls, which join the first part; equal values stay together.
+    """
+    points = [_literal(p) for p in split_points(spark, url, view, column, partitions, options)]
+    parts = [f"{column} >= {a} AND {column} < {b}" for a, b in zip(points, points[1:], strict=False)]
+    whole = [f"{column} < {points[0]} OR {column} IS NULL", *parts, f"{column} >= {points[-1]}"] if points else ["1 = 1"]
+    properties = {"fetchsize": str(fetch_size), **(options or {})}
+    return spark.read.jdbc(url, view, predicates=whole, properties=properties)
+
+
 def csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A CSV file with a header and an explicit schema."""
     return spark.read.schema(schema).option("header", True).csv(path)
@@ -81,22 +115,19 @@ def legacy_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def forecasts(spark: SparkSession, path: str) -> DataFrame:
     """Stored forecasts with a typed date; an empty typed frame if there are none."""
-    try:
-        found = spark.read.parquet(path)
-    except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-            raise
+    found = versions.read(spark, path)
+    if found is None:
         return spark.createDataFrame([], FORECAST)
     return found.withColumn("date", F.to_date("date"))
 
 
 def snapshot(spark: SparkSession, path: str, load: Callable[[], DataFrame], refresh: bool = False) -> DataFrame:
-    """The Parquet copy at ``path``; made from ``load()`` first if it is missing or ``refresh`` is set."""
-    if not refresh:
-        try:
-            return spark.read.parquet(path)
-        except Exception as e:
-            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-                raise
-    load().write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    """The copy at ``path``; made from ``load()`` first if it is missing or ``refresh`` is set.
+
+    Sessions may load at once: each writes a version of its own, and all of them read a whole one.
+    """
+    found = None if refresh else versions.read(spark, path)
+    if found is None:
+        versions.publish(load(), path)
+        found = versions.read(spark, path)
+    return found
