@@ -274,7 +274,8 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids") ->
     """``docs`` with a binary column ``out``: the ids of each whole text, little-endian unsigned 32-bit.
 
     ``path`` names a byte-level BPE file of the ``tokenizers`` library on the driver. Null texts are empty texts.
-    A column named ``out`` is replaced; all others pass through, one output row per input row.
+    A column named ``out`` is replaced; all others pass through, one output row per input row, repeated rows too; an
+    empty table gives an empty one. Texts may be of any length that one Arrow string holds (2 GB).
     """
     return _mapped(docs, path, text, "string", {out: "binary"}, lambda e: lambda x: (e.encode(x or ""),))
 

@@ -76,7 +76,8 @@ def with_signals(docs: DataFrame, text: str = "text", keep: Sequence[str] | None
     """``docs`` (or its columns ``keep``) with the columns ``SIGNALS``, one output row per input row.
 
     Null texts count as empty: no words, so ``base_failed``. Columns that already bear a signal's name are replaced;
-    all others pass through untouched. Ties cannot arise: every row is judged by itself.
+    all others pass through untouched. Ties cannot arise: every row is judged by itself, repeated rows alike. Texts
+    may be of any length; an empty table gives an empty one.
     """
     aside = Aside(docs)
     docs, text, keep = aside.docs, aside[text], aside.kept(SIGNALS, keep)

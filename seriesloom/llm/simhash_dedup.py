@@ -140,7 +140,7 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     """Rows of ``docs`` that stay: of each near-duplicate group the row with the smallest key (all columns kept).
 
     If several rows share that smallest key, they are that one document and one of them stays. Rows without a key
-    cannot be named and all stay.
+    cannot be named and all stay. Texts may be of any length; an empty table gives an empty one.
     """
     aside = Aside(docs)
     return aside.back(_leaders(aside.docs, groups(aside.docs, aside[key], aside[text]), aside[key]))

@@ -147,7 +147,8 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
 
     Every word inside a window that starts anywhere else as well goes, in all its occurrences, judged on the input.
     Null texts have no words. Rows that repeat a key and its text are copies of each other and lose what they share.
-    Columns with the names produced are replaced; every input row stays.
+    Columns with the names produced are replaced; every input row stays. Texts may be of any length; an empty table gives
+    an empty one.
     """
     produced = ["n_words", "n_removed", "kept", "removed_spans"]
     aside = Aside(docs)
