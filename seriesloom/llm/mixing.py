@@ -90,11 +90,11 @@ def mix(
     """``docs`` with ``size`` (words), ``source_size``, ``target``, ``taken`` (words, repeats counted) and ``positions``
     (training time of each use of the document, ascending; empty if the mix leaves it out).
 
-    A document is used in a pass over its source if its middle lies before the target, so a source misses its target by
-    half a document at most. An empty table gives an empty one; texts may be of any length. Null texts have no words; they and empty texts are never used. Null sources are one
-    source, weighed last. The order within a source is by a digest of the key, so reruns agree; repeated keys are
-    ordered by size. Columns of the given names are replaced. No shuffle holds a source in one task: sums go over
-    hash ranges of a source first.
+    A document is used in a pass over its source if its middle lies before the target, so a source misses its target
+    by half a document at most. An empty table gives an empty one; texts may be of any length. Null texts have no
+    words; they and empty texts are never used. Null sources are one source, weighed last. The order within a source
+    is by a digest of the key, so reruns agree; repeated keys are ordered by size. Columns of the given names are
+    replaced. No shuffle holds a source in one task: sums go over hash ranges of a source first.
     """
     aside = Aside(docs)
     docs, key, text, source, keep = aside.docs, aside[key], aside[text], aside[source], aside.kept(ADDED)
