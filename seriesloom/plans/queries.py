@@ -309,13 +309,15 @@ def series_models(spark: Spark, d: str) -> Frame:
 
 #: Boosted queries run these rounds instead of 1000 at a rate of 0.01; README has figures for more.
 TREES = Options(rounds=12, rate=0.3, patience=4)
+#: The same where every one of 30 steps has trees of its own.
+STEP_TREES = Options(rounds=6, rate=0.5, patience=None)
 
 
 def forecast_boosted(spark: Spark, d: str) -> Frame:
     """Trees for each series and each of 30 steps, as ``forecast_direct`` otherwise."""
     as_of = _as_of(spark, d)
     gate = lambda series: gates.gate_direct(series, as_of, HORIZON)
-    return writers.forecast_rows(forecast.direct_boosted(_features(spark, d), as_of, HORIZON, TREES, gate=gate))
+    return writers.forecast_rows(forecast.direct_boosted(_features(spark, d), as_of, HORIZON, STEP_TREES, gate=gate))
 
 
 def _boosted(spark: Spark, d: str) -> tuple[Frame, Frame]:
