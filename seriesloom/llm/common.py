@@ -76,13 +76,16 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def written(df: DataFrame, name: str, kept: bool = False) -> DataFrame:
-    """``df`` written to the shared folder and read again: lineage ends here and survives lost executors."""
+def written(df: DataFrame, name: str, kept: bool = False, outer: bool = False) -> DataFrame:
+    """``df`` written to the shared folder and read again: lineage ends here and survives lost executors.
+
+    The table belongs to the scope of ``scratch`` that is open, or to the one around it (``outer``), or to none (``kept``).
+    """
     path = new_path(df.sparkSession, name)
     with freeing_shuffles(df.sparkSession):
         df.write.parquet(path)
-    if _scopes and not kept:
-        _scopes[-1].append(path)
+    if len(_scopes) > outer and not kept:
+        _scopes[-1 - outer].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

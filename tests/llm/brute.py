@@ -119,24 +119,41 @@ def normalised(line: str) -> str:
     return " ".join(words(kept))
 
 
-def at_most(a, b, most: int) -> bool:
-    """Whether the edit distance is at most ``most``, by the textbook table, a row at a time."""
-    number: dict = {}
-    x, y = (np.array([number.setdefault(c, len(number)) for c in z]) for z in (a, b))
-    steps = np.arange(len(y) + 1)
-    row = steps.copy()
-    for i, c in enumerate(x, 1):
-        new = np.r_[i, np.minimum(row[1:] + 1, row[:-1] + (y != c))]
-        row = np.minimum.accumulate(new - steps) + steps
-        if row.min() > most:
-            return False
-    return bool(row[-1] <= most)
+def near_pairs(pairs: list[tuple[str, str]], similarity: float) -> list[bool]:
+    """Which pairs are similar, by the textbook table, a row of many pairs at a time; pairs leave when no way is short enough."""
+    out = [False] * len(pairs)
+    order = sorted(range(len(pairs)), key=lambda i: len(pairs[i][1]))
+    begin = 0
+    while begin < len(order):
+        width = len(pairs[order[begin]][1])
+        some = order[begin : begin + max(1, 400_000 // (width + 1))]
+        begin += len(some)
+        x, y = ([np.frombuffer(pairs[i][k].encode("utf-32-le"), np.uint32).astype(np.int64) for i in some] for k in (0, 1))
+        tall, wide = np.array([len(z) for z in x]), np.array([len(z) for z in y])
+        a, b = np.full((len(some), tall.max()), -1), np.full((len(some), wide.max()), -2)
+        for i, (p, q) in enumerate(zip(x, y, strict=True)):
+            a[i, : len(p)], b[i, : len(q)] = p, q
+        most = ((1 - similarity) * np.maximum(tall, wide) + 1e-9).astype(np.int64)
+        who, steps = np.arange(len(some)), np.arange(b.shape[1] + 1)
+        row = np.tile(steps, (len(some), 1))
+        for i in range(a.shape[1]):
+            new = np.concatenate([np.full((len(row), 1), i + 1), np.minimum(row[:, 1:] + 1, row[:, :-1] + (b[who] != a[who, i, None]))], axis=1)
+            row = np.minimum.accumulate(new - steps, axis=1) + steps
+            for k in np.flatnonzero(tall[who] == i + 1):
+                out[some[who[k]]] = bool(row[k, wide[who[k]]] <= most[who[k]])
+            if i % 16 == 15 or (tall[who] == i + 1).any():
+                stay = (tall[who] > i + 1) & (row.min(axis=1) <= most[who])
+                who, row = who[stay], row[stay]
+                if not len(who):
+                    break
+    return out
 
 
 def similar_lines(docs: list[tuple[int, str | None]], similarity: float = 0.8) -> tuple[set[tuple[int, int]], list]:
     """(id, line number) of the lines that go, and the links, by nothing but the edit similarity in code points.
 
-    Pairs that cannot reach it are passed over by their counts of three-character runs, of which an edit takes and adds three.
+    Pairs that cannot reach it are passed over by their counts of runs of one to three characters: an edit takes and adds
+    as many as a run is long.
     """
     uses = [(i, n, normalised(line)) for i, body in sorted(docs) for n, line in enumerate((body or "").split("\n"))]
     uses = [u for u in uses if u[2]]
@@ -144,28 +161,21 @@ def similar_lines(docs: list[tuple[int, str | None]], similarity: float = 0.8) -
     for i, n, norm in uses:
         place.setdefault(norm, (i, n))
     names = sorted(place, key=len)
-    bins = np.zeros((len(names), 512), np.int32)
-    for row, x in zip(bins, names, strict=True):
-        for k in range(len(x) - 2):
-            row[hash(x[k : k + 3]) % 512] += 1
+    bins = np.zeros((3, len(names), 1024), np.int16)
+    for i, x in enumerate(names):
+        for q in (1, 2, 3):
+            for k in range(len(x) - q + 1):
+                bins[q - 1, i, hash(x[k : k + q]) % 1024] += 1
     size = np.array([len(x) for x in names])
-    edges = []
+    maybe = []
     for b, y in enumerate(names):
         most = int((1 - similarity) * len(y) + 1e-9)
-        low = int(np.searchsorted(size[:b], len(y) - most))
-        near = np.flatnonzero(np.abs(bins[low:b] - bins[b]).sum(axis=1) <= 6 * most) + low
-        for a in near:
-            x = names[a]
-            if len(y) > 60:  # long lines of one language have like counts; edits that spare four of five characters spare words
-                p, q = Counter(x.split()), Counter(y.split())
-                if 2 * (p & q).total() < max(p.total(), q.total()):
-                    continue
-            if len(y) > 4096:  # by definition these are compared by words
-                p, q = x.split(), y.split()
-                if at_most(p, q, int((1 - similarity) * max(len(p), len(q)) + 1e-9)):
-                    edges.append((x, y))
-            elif at_most(x, y, most):
-                edges.append((x, y))
+        near = np.arange(int(np.searchsorted(size[:b], len(y) - most)), b)
+        for q in (1, 2, 3):
+            if len(near):
+                near = near[np.abs(bins[q - 1, near].astype(np.int32) - bins[q - 1, b]).sum(axis=1) <= 2 * q * most]
+        maybe += [(names[a], y) for a in near]
+    edges = [p for p, near in zip(maybe, near_pairs(maybe, similarity), strict=True) if near]
     root = components(names, edges)
     first = {}
     for norm in names:
