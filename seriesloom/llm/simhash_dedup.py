@@ -9,10 +9,10 @@ quadratic. The index therefore keys on two of the four positional byte pairs at
 bits spoil at most two byte pairs, so each pair of fingerprints that can reach the minimum meets in one
 of these six lists or more.
 
-Two bits are near identity. ``similar_groups`` and ``deduplicate_similar`` hold the wider rule of the pipeline: texts
-whose sets of five-word shingles have a Jaccard similarity of 0.8 or more. At 0.8 a SimHash differs in about ten of 64
-bits, too many for any positional index, so candidates come from 32 independent fingerprints instead, each of four
-minima of hashes of the shingles, and are verified by their exact similarity.
+Two bits are near identity. ``similar_groups`` and ``deduplicate_similar`` hold a wider rule: texts whose sets of
+five-word shingles have a Jaccard similarity of 0.8 or more. At 0.8 a SimHash differs in about ten of 64 bits, too many
+for any positional index, so candidates come from 32 independent fingerprints instead, each of four minima of hashes of
+the shingles, and are verified by their exact similarity. The pipeline links by both rules (``deduplicate_near``).
 """
 
 from __future__ import annotations
@@ -259,3 +259,18 @@ def deduplicate_similar(docs: DataFrame, key: str = "doc_id", text: str = "text"
     """Rows of ``docs`` that stay: of each group of similar texts the row with the smallest key, as in ``deduplicate``."""
     aside = Aside(docs)
     return aside.back(_leaders(aside.docs, similar_groups(aside.docs, aside[key], aside[text]), aside[key]))
+
+
+def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``key, component_id`` per row with a key: groups connected by fingerprints within two bits or by similar texts."""
+    found = groups(docs, key, text).union(similar_groups(docs, key, text).select(key, F.lit(None).cast("long"), "component_id"))
+    found = written(found.where(F.col(key).isNotNull()).select(F.col(key).alias("node"), F.col("component_id").alias("to")).distinct(), "rules")
+    whole = components(found.select(F.col("node").alias("a"), F.col("to").alias("b")))
+    rows = found.select("node").distinct().join(whole, "node", "left")
+    return rows.select(F.col("node").alias(key), F.coalesce("component", "node").alias("component_id"))
+
+
+def deduplicate_near(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Rows of ``docs`` that stay: of each group by either rule the row with the smallest key, as in ``deduplicate``."""
+    aside = Aside(docs)
+    return aside.back(_leaders(aside.docs, near_groups(aside.docs, aside[key], aside[text]), aside[key]))

@@ -51,3 +51,15 @@ def test_similar_edges(make, edge):
     assert sorted(i for i in ids if i is not None) == [0, 3, 5, 6, 8, 9] and ids.count(None) == 1
     assert kept.columns == make(edge).columns
     assert simhash_dedup.similar_groups(make(edge).limit(0)).count() == 0
+
+
+def test_pipeline_stage_links_by_fingerprints_too(spark, make):
+    """Texts whose repeated words decide the fingerprint are linked by it, though few of their distinct shingles are shared."""
+    shared = " ".join(f"word{i}" for i in range(11))
+    docs = [(i, " ".join([shared] * 60 + [f"own{i}x{k}" for k in range(40)])) for i in range(6)]
+    docs += [(10 + i, f"quite another text number {i} of some {i * i} words") for i in range(4)]
+    prints = [simhash_dedup.fingerprint(text.encode()) for _, text in docs]
+    assert len({i for i, c in similar_groups(docs).items() if i == c}) == len(docs)
+    want = {i for i, c in brute.components([i for i, _ in docs], [(docs[a][0], docs[b][0]) for a in range(len(docs)) for b in range(a) if (prints[a] ^ prints[b]).bit_count() <= 2]).items() if i == c}
+    assert len(want) < len(docs)
+    assert {r["doc_id"] for r in corpus_pipeline.near_duplicate_stage(spark, make(docs), "").collect()} == want
