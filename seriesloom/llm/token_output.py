@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from pathlib import Path
 from struct import pack
 
@@ -26,8 +27,8 @@ from seriesloom.llm.common import Remembered, freeing_shuffles, slices, written
 LIMIT = 20
 STEP = 128
 BLOCK_TOKENS = 1 << 17
-#: Words of a generation that a worker remembers: some 100 MB.
-WORDS = 700_000
+#: Words of a generation that a worker remembers: some 60 MB.
+WORDS = 400_000
 
 
 # ---- tokens
@@ -132,6 +133,12 @@ class WordEncoder:
         return out
 
 
+@lru_cache(maxsize=1)
+def encoder(spec: str, kind: str) -> WordEncoder:
+    """The encoder of this worker: what one task has learnt serves the next one."""
+    return WordEncoder(spec, kind)
+
+
 def _tokenizer(spec: str):
     from tokenizers import Tokenizer
 
@@ -147,9 +154,9 @@ def tokens(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
     last = np.array([end], kind).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(spec.value, kind)
+        encode = encoder(spec.value, kind).encode
         for batch in slices(batches, "t"):
-            ids = [encoder.encode(x or b"") + last for x in batch.column(1).to_pylist()]
+            ids = [encode(x or b"") + last for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], ["doc", "ids"])
 
     source = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).cast("binary").alias("t"))

@@ -127,6 +127,20 @@ def test_token_query_on_the_table(spark, sf):
     assert {r["doc_id"]: (r["start"], r["n_tokens"], r["ids_crc32"]) for r in found} == want
 
 
+def test_a_worker_learns_words_once(spark):
+    """Tasks of one worker share what it has learnt, and the ids stay those of the library."""
+    library, texts = Tokenizer.from_file(WORD), ["Hello wondrous x-Y_z", "wondrous <|endoftext|> Hello", None]
+    docs = spark.createDataFrame([(i, x) for i, x in enumerate(texts * 2)], "doc_id long, text string").coalesce(1)
+    found = {r["doc"]: np.frombuffer(r["ids"], "<u4").tolist() for r in token_output.tokens(docs, WORD).collect()}
+    assert found == {i: [*library.encode(x or "", add_special_tokens=False).ids, 2] for i, x in enumerate(texts * 2)}
+    spec = open(WORD).read()
+    first = token_output.encoder(spec, "<u2")
+    first.encode(b"Hello wondrous")
+    again = token_output.encoder(str(spec.encode(), "utf-8"), "<u2")
+    assert again is first and b"wondrous" in again.young
+    assert token_output.encoder(spec, "<u4") is not first
+
+
 def test_token_edges(spark, make, edge, monkeypatch):
     monkeypatch.setattr(token_output, "BLOCK_TOKENS", 500)
     path = new_path(spark, "tokens")
