@@ -31,3 +31,8 @@ def test_settings_of_the_session_stay(spark, sf, monkeypatch):
 
 def test_small_tables_keep_the_session(spark, sf):
     assert sizing.sized(spark, f"{sf}/lineitem.parquet") is spark
+
+
+def test_small_partitions_alone_are_merged():
+    """Dense days of a partition compress to few bytes: merged up to many shares of the table they would fill a task."""
+    assert sizing.TASK <= 2 * sizing.SHARE
